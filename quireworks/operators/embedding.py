@@ -45,7 +45,7 @@ def hashed_words(dimension: int = HASHED_DIMENSION) -> Model:
             counts = np.zeros((len(texts), dimension))
             for row, text in zip(counts, texts):
                 words = [bucket(word) for word in text.split(" ") if word]
-                row += np.bincount(words, minlength=dimension)
+                row += np.bincount(np.array(words, dtype=np.int64), minlength=dimension)
             norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             return counts / np.where(norms == 0, 1, norms)
 

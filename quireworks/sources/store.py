@@ -1,6 +1,6 @@
 """The collection store: two Parquet tables under one root.
 
-``collections``  name, cmetadata, uuid
+``collections``  uuid=.../ with name, cmetadata
 ``embeddings``   collection_id=.../batch_id=.../ with uuid, document, cmetadata,
                  custom_id, content_hash, embedding
 
@@ -12,10 +12,11 @@ that column only and parses no JSON.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quireworks.functions.keys import row_uuid
 from quireworks.session import delete_path, path_exists
 
 COLLECTIONS_SCHEMA = "name string, cmetadata string, uuid string"
@@ -44,20 +45,22 @@ class CollectionStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def collection_id(self, name: str) -> str:
+    @staticmethod
+    def collection_id(name: str) -> str:
         """Key of a collection, made from its name."""
-        return self.spark.range(1).select(row_uuid(F.lit(name))).first()[0]
+        return hashlib.sha256(name.encode()).hexdigest()
 
     def collections(self) -> DataFrame:
-        """Every collection once, also if two writers created it at the same time."""
-        return self._read(self._collections, COLLECTIONS_SCHEMA).dropDuplicates(["uuid"])
+        return self._read(self._collections, COLLECTIONS_SCHEMA)
 
     def create_collection(self, name: str) -> str:
-        """Id of the collection; adds it where it is missing."""
+        """Id of the collection; adds it where it is missing. Writers that create the same
+        one at the same time write the same row to the same place."""
         key = self.collection_id(name)
-        if self.collections().filter(F.col("uuid") == key).isEmpty():
-            row = self.spark.createDataFrame([(name, None, key)], COLLECTIONS_SCHEMA)
-            row.coalesce(1).write.mode("append").parquet(self._collections)
+        path = f"{self._collections}/uuid={key}"
+        if not path_exists(self.spark, path):
+            row = self.spark.createDataFrame([(name, None)], "name string, cmetadata string")
+            row.coalesce(1).write.mode("overwrite").parquet(path)
         return key
 
     def rows(self, name: str | None = None) -> DataFrame:
@@ -94,12 +97,10 @@ class CollectionStore:
         return self.spark.read.schema("uuid string").parquet(path).count()
 
     def drop_collection(self, name: str) -> None:
-        """Remove a collection and all of its rows."""
+        """Remove a collection and all of its rows, the rows last."""
         key = self.collection_id(name)
-        left = self.collections().filter(F.col("uuid") != key).collect()
+        delete_path(self.spark, f"{self._collections}/uuid={key}")
         delete_path(self.spark, f"{self._embeddings}/collection_id={key}")
-        table = self.spark.createDataFrame(left, COLLECTIONS_SCHEMA)
-        table.coalesce(1).write.mode("overwrite").parquet(self._collections)
 
 
 class Ledger:
