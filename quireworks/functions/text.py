@@ -18,8 +18,6 @@ WHITESPACE = (
 # The negated ASCII class comes first so that plain text is rejected by one range test.
 NON_PRINTABLE = r"[[^\x20-\x7E]&&[\p{C}\p{Z}]]+"
 _NOT_SPACE = "".join(map(chr, WHITESPACE_CODES))
-# The lookbehind lets a run inside the text be tried once, not from each of its characters.
-_EDGES = rf"\A[{WHITESPACE}]+|(?<![{WHITESPACE}])[{WHITESPACE}]++\z"
 
 
 def _plain_spaces(text: Column, drop: str = "") -> Column:
@@ -43,7 +41,7 @@ def strip_nonprintable(text: Column) -> Column:
 
 def strip_whitespace(text: Column) -> Column:
     """Remove Unicode whitespace at both ends."""
-    return F.regexp_replace(text, _EDGES, "")
+    return F.trim(text, F.lit(_NOT_SPACE + " "))
 
 
 def clean_text(text: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quireworks.operators.joins import lookup
+
 # Hashes are 64 characters: this many make a broadcast of some 100 MB.
 BROADCAST_HASHES = 1_000_000
 CHUNK_ORDER = ("title", "page_no", "chunk_idx")
@@ -47,24 +49,38 @@ def known_hashes(
 
     The store is the big side and only its hash column is read. With a batch of at most
     ``max_broadcast`` rows (``n_chunks``, if the caller has counted them) the batch is
-    broadcast and the store is scanned without a shuffle; otherwise both sides are
-    shuffled on the hash.
+    broadcast and the store is scanned without a shuffle; otherwise both sides are reduced
+    to distinct hashes and shuffled on them.
     """
     batch = chunks.select(key).distinct()
     stored = stored.select(key).filter(F.col(key).isNotNull() & (F.col(key) != ""))
     if n_chunks is not None and n_chunks <= max_broadcast:
         batch = F.broadcast(batch)
-    return stored.join(batch, key, "left_semi").distinct()
+        return stored.join(batch, key, "left_semi").distinct()
+    return stored.distinct().join(batch, key, "left_semi")
 
 
-def drop_known(chunks: DataFrame, known: DataFrame, key: str = "content_hash") -> DataFrame:
-    """Chunks whose hash is not known. A hot hash makes the left side of the join skewed,
-    which adaptive execution splits; the right side has every hash once."""
-    return chunks.join(known.select(key), key, "left_anti")
+def drop_known(
+    chunks: DataFrame,
+    known: DataFrame,
+    key: str = "content_hash",
+    spread: Sequence[str] | None = CHUNK_ORDER,
+) -> DataFrame:
+    """Chunks whose hash is not known. ``spread`` tells copies of one hash apart; None says
+    that there are none (after ``first_seen``), and the join keeps that partitioning."""
+    if spread is None:
+        return chunks.join(known.select(key), key, "left_anti")
+    return lookup(chunks, known.select(key), key, "left_anti", spread)
 
 
-def keep_known(chunks: DataFrame, known: DataFrame, key: str = "content_hash") -> DataFrame:
-    return chunks.join(known.select(key), key, "left_semi")
+def keep_known(
+    chunks: DataFrame,
+    known: DataFrame,
+    key: str = "content_hash",
+    spread: Sequence[str] = CHUNK_ORDER,
+) -> DataFrame:
+    """The other side of ``drop_known``: chunks whose hash is known."""
+    return lookup(chunks, known.select(key), key, "left_semi", spread)
 
 
 def distinct_hashes(stored: DataFrame, key: str = "content_hash") -> DataFrame:

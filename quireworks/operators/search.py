@@ -19,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from quireworks.functions.keys import hit_title
 from quireworks.functions.vectors import DISTANCE_DIGITS
+from quireworks.session import materialize
 
 # Fixed value: hits per query unless the caller says otherwise.
 TOP_K = 5
@@ -127,7 +128,9 @@ def _scan(query_ids: pa.Array, queries: np.ndarray, k: int, names: Sequence[str]
     return nearest_in_partition
 
 
-def _search_blocks(vectors: DataFrame, queries: DataFrame, k: int, schema, names) -> DataFrame:
+def _search_blocks(
+    vectors: DataFrame, n_vectors: int, queries: DataFrame, k: int, schema, names
+) -> DataFrame:
     """Search with more queries than one broadcast should hold.
 
     Both sides are hashed into blocks of bounded size, each block is copied to every
@@ -135,7 +138,8 @@ def _search_blocks(vectors: DataFrame, queries: DataFrame, k: int, schema, names
     numbers: no side passes through the driver and no task holds more than one pair.
     """
     id_col, query_col = vectors.columns[0], queries.columns[0]
-    n_vb = max(1, -(-vectors.count() // VECTOR_BLOCK))
+    queries, _ = materialize(queries, "queries")
+    n_vb = max(1, -(-n_vectors // VECTOR_BLOCK))
     n_qb = max(1, -(-queries.count() // QUERY_BLOCK))
 
     def every(n: int):
@@ -179,6 +183,7 @@ def topk_batch(
     """
     if k < 1:
         raise ValueError("k must be at least 1")
+    everything = vectors
     vectors = vectors.select(id_col, vector_col, *keep).filter(F.col(vector_col).isNotNull())
     queries = queries.select(F.col(query_id_col).alias("query_id"), query_vector_col)
     queries = queries.filter(F.col(query_vector_col).isNotNull())
@@ -191,7 +196,7 @@ def topk_batch(
     )
     head = queries.limit(max_broadcast_queries + 1).toArrow()
     if head.num_rows > max_broadcast_queries:
-        found = _search_blocks(vectors, queries, k, schema, names)
+        found = _search_blocks(vectors, everything.count(), queries, k, schema, names)
     else:
         units = _unit_rows(head.column(1))
         shared = vectors.sparkSession.sparkContext.broadcast(units)

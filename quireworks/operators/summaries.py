@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quireworks.functions.text import is_blank
 from quireworks.operators.dedupe import drop_known, first_seen_keys
+from quireworks.operators.joins import lookup
 
 
 def ingest_summary(
@@ -21,7 +22,7 @@ def ingest_summary(
     """
     by = list(by)
     total = chunks.groupBy(*by).agg(F.count(F.lit(1)).alias("total_chunks"))
-    new = drop_known(first_seen_keys(chunks), known)
+    new = drop_known(first_seen_keys(chunks), known, spread=None)
     new = new.groupBy(*by).agg(F.count(F.lit(1)).alias("new_chunks"))
     if by:
         both = total.join(new, by, "left")
@@ -76,14 +77,25 @@ def duplicate_keys(rows: DataFrame, key: str = "uuid") -> DataFrame:
     return counts.filter(F.col("n_rows") > 1)
 
 
-def orphan_rows(rows: DataFrame, collections: DataFrame, key: str = "collection_id") -> DataFrame:
+def collection_rows(
+    rows: DataFrame, collections: DataFrame, key: str = "collection_id", row_key: str = "uuid"
+) -> DataFrame:
+    """Rows with the columns of their collection; a collection may hold most of the rows."""
+    return lookup(rows, collections, key, "inner", [row_key])
+
+
+def orphan_rows(
+    rows: DataFrame, collections: DataFrame, key: str = "collection_id", row_key: str = "uuid"
+) -> DataFrame:
     """Rows whose collection does not exist: empty where the foreign key holds."""
-    return rows.join(collections.select(key).distinct(), key, "left_anti")
+    return lookup(rows, collections.select(key).distinct(), key, "left_anti", [row_key])
 
 
-def cascade_delete(rows: DataFrame, doomed: DataFrame, key: str = "collection_id") -> DataFrame:
+def cascade_delete(
+    rows: DataFrame, doomed: DataFrame, key: str = "collection_id", row_key: str = "uuid"
+) -> DataFrame:
     """Rows left after the doomed collections and everything in them are gone."""
-    return rows.join(doomed.select(key).distinct(), key, "left_anti")
+    return lookup(rows, doomed.select(key).distinct(), key, "left_anti", [row_key])
 
 
 def null_byte_titles(pages: DataFrame, has_nul: Column, title: str = "title") -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quireworks.functions.keys import UNTITLED, content_hash, metadata_json, row_uuid
@@ -22,7 +22,7 @@ from quireworks.operators.dedupe import (
 )
 from quireworks.operators.embedding import Model, embed_documents
 from quireworks.operators.ledger import new_files, new_titles
-from quireworks.session import delete_path, scratch_dir
+from quireworks.session import delete_path, materialize
 from quireworks.sources.files import (
     PDF_GLOB,
     Decoder,
@@ -48,10 +48,14 @@ class IngestResult:
         return self.new_chunks + self.skipped_chunks
 
 
+def publication_title(df: DataFrame) -> Column:
+    return clean_text(F.col("title")) if "title" in df.columns else F.lit(UNTITLED)
+
+
 def publications(df: DataFrame) -> DataFrame:
     """title, page_no, content. A missing title column means ``Untitled``, a null title is
     an empty one; page_no only orders the pages of a title and may be missing."""
-    title = clean_text(F.col("title")) if "title" in df.columns else F.lit(UNTITLED)
+    title = publication_title(df)
     page_no = F.col("page_no").cast("long") if "page_no" in df.columns else F.lit(0).cast("long")
     return df.select(title.alias("title"), page_no.alias("page_no"), "content")
 
@@ -101,8 +105,8 @@ def new_chunks(
     winners = first_seen(chunks)
     if n_chunks is not None and n_chunks <= max_broadcast:
         known = known_hashes(chunks, stored, max_broadcast=max_broadcast, n_chunks=n_chunks)
-        return drop_known(winners, known)
-    return drop_known(winners, stored)
+        return drop_known(winners, known, spread=None)
+    return drop_known(winners, stored, spread=None)
 
 
 def insert_publications(
@@ -130,9 +134,7 @@ def insert_publications(
         store.append(embed_documents(rows, model), collection, batch_id)
         return IngestResult(batch_id, store.batch_count(collection, batch_id), 0)
 
-    stage = scratch_dir(spark, "chunks")
-    chunks.write.parquet(stage)
-    staged = spark.read.schema(chunks.schema).parquet(stage)
+    staged, stage = materialize(chunks, "chunks")
     total = staged.count()
     stored = store.hashes(collection, without_batch=batch_id)
     fresh = new_chunks(staged, stored, total, max_broadcast)
@@ -210,11 +212,7 @@ def ingest_pages_of_files(
     Returns the result, the decoded pages (with ``error``) and the folder they are in,
     which the caller deletes.
     """
-    spark = files.sparkSession
-    stage = scratch_dir(spark, "pages")
-    decoded = decode_pages(files, decoder)
-    decoded.write.parquet(stage)
-    pages = spark.read.schema(decoded.schema).parquet(stage)
+    pages, stage = materialize(decode_pages(files, decoder), "pages")
     fresh = page_rows(pages.filter(F.col("error").isNull()))
     result = insert_publications(fresh, store, collection, model, batch_id, **options)
     return result, pages, stage

@@ -17,6 +17,7 @@ from quireworks.operators.summaries import chunks_per, ingest_summary
 from quireworks.plans.ingest import hashed_chunks
 from quireworks.registry.core import labelled_ids, noisy, pages, query
 from quireworks.registry.sql import NOISY, PAGES, chunks, clean
+from quireworks.session import materialize
 
 _NOISY_PAGES = f"SELECT source AS title, doc_id AS page_no, {NOISY} AS content FROM documents"
 _LABELLED = "page_no IN (SELECT doc_id FROM labels)"
@@ -108,8 +109,9 @@ def dedupe_batch(spark, folder):
 
 def _batch_and_known(spark, folder):
     """All chunks, and those of the labelled documents as what the store holds."""
-    batch = hashed_chunks(pages(spark, folder))
-    stored = hashed_chunks(_labelled(pages(spark, folder), spark, folder))
+    keys = hashed_chunks(pages(spark, folder)).drop("content")
+    batch, _ = materialize(keys, "chunks")
+    stored = _labelled(batch, spark, folder)
     return batch, known_hashes(batch, stored)
 
 

@@ -152,7 +152,7 @@ def _written_files(documents, spark):
     """Documents as files on the shared file system, one ``.txt`` each below a folder that
     names the source and the document."""
     root = scratch_dir(spark, "files")
-    named = documents.select("source", "doc_id", "text")
+    named = documents.select("source", "doc_id", "text").repartition("doc_id")
     named.write.partitionBy("source", "doc_id").text(root)
     return root
 
@@ -217,7 +217,7 @@ def ingest_batches(spark, folder):
     ledger = Ledger(spark, scratch_dir(spark, "ledger"))
     root = scratch_dir(spark, "files")
     for delivery in _two_deliveries(spark, folder):
-        named = delivery.select("source", "doc_id", "text")
+        named = delivery.select("source", "doc_id", "text").repartition("doc_id")
         named.write.mode("append").partitionBy("source", "doc_id").text(root)
         ingest_files_in_batches(
             spark, root, utf8_pages(), ledger, store, COLLECTION, MODEL, 400, glob=TXT_GLOB

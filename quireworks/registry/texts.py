@@ -15,7 +15,7 @@ from quireworks.functions.text import (
 from quireworks.operators.batching import assign_batches
 from quireworks.operators.ledger import new_files, new_titles, with_titles
 from quireworks.operators.summaries import file_counts, load_totals, null_byte_titles
-from quireworks.plans.ingest import publications
+from quireworks.plans.ingest import publication_title
 from quireworks.registry.core import (
     document_path,
     file_pages,
@@ -118,10 +118,12 @@ def _titled(spark, folder):
 )
 def default_title(spark, folder):
     """A null title is an empty one; only a missing title column has the default."""
-    titled = publications(_titled(spark, folder)).drop("content")
-    untitled = publications(_titled(spark, folder).drop("title"))
-    untitled = untitled.select("page_no", F.col("title").alias("title_without_column"))
-    return titled.join(untitled, "page_no").select("page_no", "title", "title_without_column")
+    titled = _titled(spark, folder)
+    return titled.select(
+        "page_no",
+        publication_title(titled).alias("title"),
+        publication_title(titled.drop("title")).alias("title_without_column"),
+    )
 
 
 @query(

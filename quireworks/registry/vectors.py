@@ -8,6 +8,7 @@ from quireworks.operators.search import search_hits, topk, topk_batch
 from quireworks.operators.summaries import (
     cascade_delete,
     collection_counts,
+    collection_rows,
     duplicate_keys,
     orphan_rows,
 )
@@ -88,7 +89,7 @@ def topk_batch_query(spark, folder):
 )
 def topk_in_collection(spark, folder):
     named = _collections(spark, folder).filter(F.col("name") == "EUROPE")
-    rows = _stored(spark, folder).join(named, "collection_id")
+    rows = collection_rows(_stored(spark, folder), named, row_key="vec_id")
     return _rounded(topk_batch(rows, _queries(spark, folder), 5, keep=["collection_id"]))
 
 
@@ -170,8 +171,8 @@ def rag_prompt(spark, folder):
     """SELECT vec_id, label AS collection_id, r_name AS name FROM embeddings
        JOIN region ON r_regionkey = label""",
 )
-def collection_rows(spark, folder):
-    rows = _stored(spark, folder).join(_collections(spark, folder), "collection_id")
+def collection_rows_query(spark, folder):
+    rows = collection_rows(_stored(spark, folder), _collections(spark, folder), row_key="vec_id")
     return rows.select("vec_id", "collection_id", "name")
 
 
@@ -200,9 +201,8 @@ def first_collection(spark, folder):
        WHERE label NOT IN (SELECT r_regionkey FROM region)""",
 )
 def orphan_rows_query(spark, folder):
-    return orphan_rows(_stored(spark, folder), _collections(spark, folder)).select(
-        "vec_id", "collection_id"
-    )
+    orphans = orphan_rows(_stored(spark, folder), _collections(spark, folder), row_key="vec_id")
+    return orphans.select("vec_id", "collection_id")
 
 
 @query(
@@ -212,7 +212,8 @@ def orphan_rows_query(spark, folder):
 )
 def cascade_delete_query(spark, folder):
     doomed = _collections(spark, folder).filter(F.col("name") == "ASIA")
-    return cascade_delete(_stored(spark, folder), doomed).select("vec_id", "collection_id")
+    left = cascade_delete(_stored(spark, folder), doomed, row_key="vec_id")
+    return left.select("vec_id", "collection_id")
 
 
 @query(

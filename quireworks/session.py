@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change how plans run, never what they return.
 RUNTIME_CONF = {
@@ -47,6 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
 
 
+def materialize(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """Write rows that several steps read to the scratch folder; returns them and the path.
+
+    Cuts the lineage (a lost executor does not repeat the work before), and gives the
+    optimizer true sizes and counts.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
