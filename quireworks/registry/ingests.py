@@ -152,11 +152,17 @@ def _written_files(documents, spark):
     """Documents as files on the shared file system, one ``.txt`` each below a folder that
     names the source and the document."""
     root = scratch_dir(spark, "files")
-    named = documents.select("source", "doc_id", "text").repartition("doc_id")
-    named.write.partitionBy("source", "doc_id").text(root)
+    _write_files(documents, spark, root)
     return root
 
 
+def _write_files(documents, spark, root):
+    # A given number of partitions, or adaptive execution leaves all files to one task.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    named = documents.select("source", "doc_id", "text").repartition(tasks, "doc_id")
+    named.write.mode("append").partitionBy("source", "doc_id").text(root)
+
+
 def _from_path(path: str):
     return [
         F.regexp_extract(path, r"source=([^/]*)/", 1).alias("source"),
@@ -217,8 +223,7 @@ def ingest_batches(spark, folder):
     ledger = Ledger(spark, scratch_dir(spark, "ledger"))
     root = scratch_dir(spark, "files")
     for delivery in _two_deliveries(spark, folder):
-        named = delivery.select("source", "doc_id", "text").repartition("doc_id")
-        named.write.mode("append").partitionBy("source", "doc_id").text(root)
+        _write_files(delivery, spark, root)
         ingest_files_in_batches(
             spark, root, utf8_pages(), ledger, store, COLLECTION, MODEL, 400, glob=TXT_GLOB
         )
