@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from quireworks.functions.keys import chunk_id
 from quireworks.functions.text import clean_text, has_visible_text, reclean_text
+from quireworks.session import spread_over_cores
 
 # Chunk length and overlap in characters, and the separators in
 # order of preference.
@@ -168,6 +169,7 @@ def chunk_documents(
     clean_first: bool = True,
 ) -> DataFrame:
     """Clean page texts, drop the empty ones, cut them and clean every chunk again."""
+    pages = spread_over_cores(pages)
     if clean_first:
         pages = pages.filter(has_visible_text(F.col("content")))
         pages = pages.withColumn("content", clean_text(F.col("content")))

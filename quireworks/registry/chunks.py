@@ -17,7 +17,7 @@ from quireworks.operators.summaries import chunks_per, ingest_summary
 from quireworks.plans.ingest import hashed_chunks
 from quireworks.registry.core import labelled_ids, noisy, pages, query
 from quireworks.registry.sql import NOISY, PAGES, chunks, clean
-from quireworks.session import materialize
+from quireworks.session import materialize, spread_over_cores
 
 _NOISY_PAGES = f"SELECT source AS title, doc_id AS page_no, {NOISY} AS content FROM documents"
 _LABELLED = "page_no IN (SELECT doc_id FROM labels)"
@@ -36,7 +36,7 @@ def _labelled(df, spark, folder):
               FROM (SELECT title, page_no, {clean("content")} AS t FROM ({PAGES})) WHERE t <> '')""",
 )
 def char_windows_query(spark, folder):
-    kept = pages(spark, folder).filter(has_visible_text(F.col("content")))
+    kept = spread_over_cores(pages(spark, folder)).filter(has_visible_text(F.col("content")))
     cleaned = kept.withColumn("content", clean_text(F.col("content")))
     windows = explode_chunks(cleaned, char_windows(F.col("content")))
     return windows.withColumn("chunk_idx", F.col("chunk_idx").cast("long"))

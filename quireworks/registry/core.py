@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quireworks.session import spread_over_cores
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -25,6 +27,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, spread for work on every character."""
+    return spread_over_cores(table(spark, folder, "documents"))
+
+
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as pages: the source is the title, the document its page."""
     return table(spark, folder, "documents").select(

@@ -18,6 +18,7 @@ from quireworks.operators.summaries import file_counts, load_totals, null_byte_t
 from quireworks.plans.ingest import publication_title
 from quireworks.registry.core import (
     document_path,
+    documents,
     file_pages,
     labelled_ids,
     noisy,
@@ -43,7 +44,7 @@ from quireworks.sources.files import document_concat, page_list, page_rows
 )
 def clean_text_query(spark, folder):
     text = F.col("text")
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", clean_text(text).alias("cleaned"), clean_text(noisy(text)).alias("cleaned_noisy")
     )
 
@@ -51,7 +52,7 @@ def clean_text_query(spark, folder):
 @query("whitespace_collapse", f"SELECT doc_id, {collapse('text')} AS collapsed FROM documents")
 def whitespace_collapse(spark, folder):
     text = F.col("text")
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", collapse_whitespace(text).alias("collapsed")
     )
 
@@ -63,14 +64,14 @@ def whitespace_collapse(spark, folder):
 )
 def strip_nonprintable_query(spark, folder):
     text = noisy(F.col("text"))
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", strip_nonprintable(text).alias("printable")
     )
 
 
 @query("remove_nul", f"SELECT doc_id, replace({NOISY}, chr(0), '') AS without_nul FROM documents")
 def remove_nul_query(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", remove_nul(noisy(F.col("text"))).alias("without_nul")
     )
 
@@ -89,7 +90,7 @@ def content_hash_query(spark, folder):
         FROM documents""",
 )
 def title_content_hash_query(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id",
         keys.title_content_hash(F.col("source"), F.col("text")).alias("title_content_hash"),
     )

@@ -58,6 +58,22 @@ def materialize(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def spread_over_cores(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small input before heavy work on its rows.
+
+    A file is split no finer than its row groups, so a small table may sit in one task.
+    Only an input of less than one full split per core is redistributed: the shuffle is
+    bounded by the size of the cluster and a large table is left as it is read.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(2 * cores) if size < cores * split else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)

@@ -15,7 +15,13 @@ def plan(df):
 
 
 def test_chunking_shuffles_nothing_and_cleans_once(spark, small):
-    text = plan(hashed_chunks(pages(spark, small)))
+    """A small input is spread over the cores first, one of many splits is not."""
+    assert plan(hashed_chunks(pages(spark, small))).count("Exchange RoundRobin") == 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1kb")
+    try:
+        text = plan(hashed_chunks(pages(spark, small)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert "Exchange" not in text
     assert text.count("translate(") == 2  # title and content
 
