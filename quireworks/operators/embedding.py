@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 # Fixed value: the model the texts are meant for.
 MODEL_NAME = "sentence-transformers/all-MiniLM-L6-v2"
 HASHED_DIMENSION = 64
+MAX_CACHED_WORDS = 1 << 18
 
 # A model is a function that, called in the worker, loads what it needs and returns a
 # function from a list of texts to a (texts, dimension) array.
@@ -37,14 +37,19 @@ def hashed_words(dimension: int = HASHED_DIMENSION) -> Model:
     scaled to length 1. It says which texts share words, not what they mean."""
 
     def load():
-        @lru_cache(maxsize=1 << 16)
-        def bucket(word: str) -> int:
-            return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dimension
+        class Buckets(dict):
+            def __missing__(self, word: str) -> int:
+                number = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dimension
+                if len(self) < MAX_CACHED_WORDS:
+                    self[word] = number
+                return number
+
+        buckets = Buckets()
 
         def embed(texts: list[str]) -> np.ndarray:
             counts = np.zeros((len(texts), dimension))
             for row, text in zip(counts, texts):
-                words = [bucket(word) for word in text.split(" ") if word]
+                words = [buckets[word] for word in text.split(" ") if word]
                 row += np.bincount(np.array(words, dtype=np.int64), minlength=dimension)
             norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             return counts / np.where(norms == 0, 1, norms)
@@ -55,7 +60,11 @@ def hashed_words(dimension: int = HASHED_DIMENSION) -> Model:
 
 
 def embed_column(text: Column, model: Model, batch_size: int = 256) -> Column:
-    """Array of floats per text; rows reach the model in batches of ``batch_size``."""
+    """Array of floats per text; rows reach the model in batches of ``batch_size``.
+
+    Marked non-deterministic, which keeps the optimizer from copying the call into a filter
+    on its result (also the one it infers for an explode) and running the model twice.
+    """
 
     def make_predict():
         embed = model()
@@ -64,7 +73,7 @@ def embed_column(text: Column, model: Model, batch_size: int = 256) -> Column:
     udf = predict_batch_udf(
         make_predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
     )
-    return udf(text)
+    return udf.asNondeterministic()(text)
 
 
 def embed_documents(

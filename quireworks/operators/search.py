@@ -228,6 +228,7 @@ def topk(
     found = vectors.mapInArrow(_scan(pa.array([0], pa.int64()), units, k, names), schema)
     nearest = [F.col("distance").asc_nulls_last(), F.col(id_col)]
     hits = found.orderBy(*nearest).limit(k)
+    # One task ranks the k rows that are left.
     ranked = hits.withColumn("rank", F.row_number().over(Window.orderBy(*nearest)))
     return ranked.select("rank", id_col, *keep, "distance")
 
@@ -241,8 +242,8 @@ def search_hits(
     """Hits with the content and title of their rows (``document``, ``cmetadata``).
 
     The texts are fetched after the ranking, so that only vectors enter the search. A hit
-    list of a known bound (``n_hits`` = queries x k) is broadcast, and where ``on`` holds
-    partition columns of the store the scan is pruned to the partitions that were hit.
+    list of a known bound (``n_hits`` = queries x k) is broadcast, a longer one is joined
+    as Catalyst sees fit.
     """
     if n_hits is not None and n_hits <= MAX_BROADCAST_HITS:
         hits = F.broadcast(hits)

@@ -8,10 +8,27 @@ from pyspark.sql import functions as F
 from quireworks.operators.embedding import Model, embed_documents
 from quireworks.operators.prompts import ANSWER_K, assemble_prompts
 from quireworks.operators.search import TOP_K, search_hits, topk, topk_batch
+from quireworks.session import materialize
 from quireworks.sources.store import CollectionStore
 
 # The partition columns travel with a hit: its text is then looked up in its own batch.
 _LOCATION = ("collection_id", "batch_id")
+# Up to this many hits the batches they lie in are named to the scan that fetches the texts.
+MAX_PRUNING_HITS = 1_000
+
+
+def _with_texts(rows: DataFrame, hits: DataFrame, n_hits: int) -> DataFrame:
+    """Fetch the texts of hits.
+
+    Few hits are written out and the second scan gets their batch ids as a partition
+    filter, so it opens only those batches. (Left to dynamic pruning, the filter is dropped
+    when the planner does not find the same broadcast again.)
+    """
+    if n_hits <= MAX_PRUNING_HITS:
+        hits, _ = materialize(hits, "hits")
+        batches = [r.batch_id for r in hits.select("batch_id").distinct().collect()]
+        rows = rows.filter(F.col("batch_id").isin(batches))
+    return search_hits(hits, rows, [*_LOCATION, "uuid"], n_hits)
 
 
 def search_collection(
@@ -20,7 +37,7 @@ def search_collection(
     """The k stored chunks nearest to one query text: rank, title, content, distance."""
     rows = store.rows(collection)
     hits = topk(rows, model()([query])[0], k, id_col="uuid", keep=_LOCATION)
-    return search_hits(hits, rows, [*_LOCATION, "uuid"], n_hits=k)
+    return _with_texts(rows, hits, k)
 
 
 def search_batch(
@@ -30,7 +47,7 @@ def search_batch(
     rows = store.rows(collection)
     vectors = embed_documents(questions, model, text="question").select("query_id", "embedding")
     hits = topk_batch(rows, vectors, k, id_col="uuid", keep=_LOCATION)
-    return search_hits(hits, rows, [*_LOCATION, "uuid"], n_hits=k * questions.count())
+    return _with_texts(rows, hits, k * questions.count())
 
 
 def answer_prompts(

@@ -1,5 +1,7 @@
 """What the physical plans must and must not hold."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from quireworks.operators.batching import assign_batches, with_global_index
@@ -51,6 +53,32 @@ def test_small_batch_scans_the_store_without_shuffling_it(spark, small, store):
     assert "Broadcast" not in large
 
 
+def test_texts_of_hits_are_read_from_their_batches_only(spark, store):
+    from quireworks.plans.answer import search_collection
+
+    for batch, text in (("b1", "cats purr"), ("b2", "dogs bark")):
+        df = spark.createDataFrame([(text,)], "content string")
+        insert_publications(df, store, "c", MODEL, batch)
+    hits = search_collection(store, "c", "cats purr", MODEL, 1)
+    assert [r.content for r in hits.collect()] == ["cats purr"]
+    spark.conf.set("spark.sql.maxMetadataValueLength", "1000")
+    try:
+        text = plan(search_collection(store, "c", "cats purr", MODEL, 1))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataValueLength")
+    assert re.search(r"PartitionFilters: \[[^\]]*\bb1\b", text), text
+    assert "b2" not in text
+
+
+def test_model_runs_once_per_text(spark, small):
+    from quireworks.operators.embedding import embed_documents
+
+    vectors = embed_documents(hashed_chunks(pages(spark, small)), MODEL, text="content")
+    assert plan(vectors.filter("embedding is not null")).count("ArrowEvalPython [predict") == 1
+    exploded = vectors.select("title", F.posexplode("embedding"))
+    assert plan(exploded).count("ArrowEvalPython [predict") == 1
+
+
 def test_global_index_counts_without_a_single_task(spark):
     df = spark.range(0, 5000, numPartitions=6).select(F.concat(F.lit("p"), F.hash("id")).alias("path"))
     got = with_global_index(df.distinct(), ["path"]).orderBy("idx").collect()
