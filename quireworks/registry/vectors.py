@@ -166,6 +166,12 @@ def rag_prompt(spark, folder):
     return assemble_prompts(_hits(spark, folder, 3), questions)
 
 
+def _named(spark, folder):
+    named = _collections(spark, folder).filter(F.col("name") == "EUROPE")
+    rows = collection_rows(_stored(spark, folder), named, row_key="vec_id")
+    return rows.select("collection_id", "name", "vec_id")
+
+
 @query(
     "collection_rows",
     """SELECT vec_id, label AS collection_id, r_name AS name FROM embeddings
@@ -186,13 +192,24 @@ def collection_counts_query(spark, folder):
 
 @query(
     "first_collection",
-    """SELECT r_regionkey::INT AS collection_id, r_name AS name FROM region
-       WHERE r_name = 'EUROPE' ORDER BY r_regionkey LIMIT 1""",
+    """SELECT label AS collection_id, r_name AS name, vec_id FROM embeddings
+       JOIN region ON r_regionkey = label WHERE r_name = 'EUROPE' ORDER BY vec_id LIMIT 1""",
 )
 def first_collection(spark, folder):
-    """The first row of a lookup by name."""
-    named = _collections(spark, folder).filter(F.col("name") == "EUROPE")
-    return named.orderBy("collection_id").limit(1)
+    """The first row of a collection looked up by name."""
+    return _named(spark, folder).orderBy("vec_id").limit(1)
+
+
+@query(
+    "collection_size",
+    """SELECT label AS collection_id, r_name AS name, count(*) AS n_rows FROM embeddings
+       JOIN region ON r_regionkey = label WHERE r_name = 'EUROPE' GROUP BY ALL""",
+)
+def collection_size(spark, folder):
+    """One number: the rows of a collection looked up by name."""
+    return _named(spark, folder).groupBy("collection_id", "name").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
 
 
 @query(

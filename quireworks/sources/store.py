@@ -119,6 +119,12 @@ class Ledger:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path).distinct()
 
+    def import_json(self, path: str) -> None:
+        """Take over a ledger kept as one JSON array of keys."""
+        array = F.from_json("value", "array<string>")
+        keys = self.spark.read.text(path, wholetext=True).select(F.explode(array).alias(self.key))
+        self.commit(keys)
+
     def commit(self, done: DataFrame) -> None:
         """Append keys; a key that is appended again is read once."""
         done.select(self.key).distinct().write.mode("append").parquet(self.path)

@@ -223,6 +223,14 @@ def test_title_ledger(spark, store, tmp_path):
     assert ledger.read().count() == 2 and store.count("c") == 3
 
 
+def test_json_ledger_is_taken_over(spark, tmp_path):
+    (tmp_path / "done.json").write_text('[\n  "s3://b/a.pdf",\n  "x \\u00e9.pdf"\n]')
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    assert ledger.read().isEmpty()
+    ledger.import_json(str(tmp_path / "done.json"))
+    assert sorted(r.path for r in ledger.read().collect()) == ["s3://b/a.pdf", "x é.pdf"]
+
+
 def test_search_and_prompts(spark, store):
     data = pubs(spark, [("Cats", 0, "cats purr and sleep"), ("Dogs", 0, "dogs bark and run"),
                         ("Fish", 0, "fish swim"), ("Birds", 0, "birds sing")])
