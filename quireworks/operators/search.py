@@ -27,6 +27,9 @@ TOP_K = 5
 MAX_BROADCAST_QUERIES = 16_384
 VECTOR_BLOCK = 65_536
 QUERY_BLOCK = 4_096
+# A larger table is read by this many tasks, several splits each: every task sends k rows
+# per query, so more tasks would mean a larger shuffle.
+MAX_TASKS = 20_000
 _SCORES_PER_STEP = 4 << 20  # doubles: 32 MB
 # Hit lists up to this many rows are broadcast to fetch their texts.
 MAX_BROADCAST_HITS = 200_000
@@ -164,6 +167,15 @@ def _search_blocks(
     return cells.applyInArrow(nearest_in_cell, schema)
 
 
+def _hit_schema(vectors: DataFrame, query_id_type: T.DataType) -> T.StructType:
+    """query_id, the columns of ``vectors`` but the vector (its second), distance."""
+    fields = vectors.schema.fields
+    kept = [T.StructField(f.name, f.dataType) for f in [fields[0], *fields[2:]]]
+    return T.StructType(
+        [T.StructField("query_id", query_id_type), *kept, T.StructField("distance", T.DoubleType())]
+    )
+
+
 def topk_batch(
     vectors: DataFrame,
     queries: DataFrame,
@@ -187,13 +199,8 @@ def topk_batch(
     vectors = vectors.select(id_col, vector_col, *keep).filter(F.col(vector_col).isNotNull())
     queries = queries.select(F.col(query_id_col).alias("query_id"), query_vector_col)
     queries = queries.filter(F.col(query_vector_col).isNotNull())
-    names = ["query_id", id_col, *keep, "distance"]
-    fields = {f.name: f for f in vectors.schema.fields}
-    schema = T.StructType(
-        [T.StructField("query_id", queries.schema["query_id"].dataType)]
-        + [T.StructField(n, fields[n].dataType) for n in names[1:-1]]
-        + [T.StructField("distance", T.DoubleType())]
-    )
+    schema = _hit_schema(vectors, queries.schema["query_id"].dataType)
+    names = schema.names
     head = queries.limit(max_broadcast_queries + 1).toArrow()
     if head.num_rows > max_broadcast_queries:
         found = _search_blocks(vectors, everything.count(), queries, k, schema, names)
@@ -201,7 +208,7 @@ def topk_batch(
         units = _unit_rows(head.column(1))
         shared = vectors.sparkSession.sparkContext.broadcast(units)
         scan = _scan(head.column(0).combine_chunks(), shared, k, names)
-        found = vectors.mapInArrow(scan, schema)
+        found = vectors.coalesce(MAX_TASKS).mapInArrow(scan, schema)
     nearest = Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), id_col)
     ranked = found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", id_col, *keep, "distance")
@@ -217,15 +224,11 @@ def topk(
 ) -> DataFrame:
     """The k nearest vectors of one query vector: rank, id, ``keep``, distance."""
     vectors = vectors.select(id_col, vector_col, *keep).filter(F.col(vector_col).isNotNull())
-    names = ["query_id", id_col, *keep, "distance"]
-    fields = {f.name: f for f in vectors.schema.fields}
-    schema = T.StructType(
-        [T.StructField("query_id", T.LongType())]
-        + [T.StructField(n, fields[n].dataType) for n in names[1:-1]]
-        + [T.StructField("distance", T.DoubleType())]
-    )
+    schema = _hit_schema(vectors, T.LongType())
+    names = schema.names
     units = _unit_rows(pa.array([list(query)], pa.list_(pa.float64())))
-    found = vectors.mapInArrow(_scan(pa.array([0], pa.int64()), units, k, names), schema)
+    scan = _scan(pa.array([0], pa.int64()), units, k, names)
+    found = vectors.coalesce(MAX_TASKS).mapInArrow(scan, schema)
     nearest = [F.col("distance").asc_nulls_last(), F.col(id_col)]
     hits = found.orderBy(*nearest).limit(k)
     # One task ranks the k rows that are left.
