@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import mixing
+from quireworks.llm import mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_mixing": mixing.op4_mixing,
+    function.__name__: function
+    for function in (
+        mixing.op4_mixing,
+        packing.op7_packing,
+    )
 }
 CHECKS: dict[str, str] = {"op4_mixing": mixing.OP4_SQL}
