@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import mixing, packing
+from quireworks.llm import mixing, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
         mixing.op4_mixing,
+        quality.op6_quality,
         packing.op7_packing,
     )
 }
