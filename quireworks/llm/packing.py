@@ -54,7 +54,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bodies = WordCache(self._encode)
+        self.bodies = WordCache(self._encode, 450_000)
         self.words = WordCache(self._split)
 
     def _encode(self, words: list[bytes]) -> Iterator[bytes]:
