@@ -127,8 +127,9 @@ def votes() -> dict[str, Column]:
     lines = share("n_dup_lines", F.greatest(F.col("n_lines"), F.lit(1)))
     upper = share("n_upper", F.greatest(F.col("n_letters"), F.lit(1)))
     letters = share("n_letters", F.greatest(F.col("word_chars"), F.lit(1)))
-    ended = (stops >= 0.02) | (F.col("n_words") < 50)
-    sound = ended & (stops <= 0.4) & (symbols < 0.05) & (upper < 0.2) & (letters > 0.8)
+    brief = F.col("n_words") < 50  # too few for shares of stops and letters
+    sound = brief | ((stops >= 0.02) & (upper < 0.2) & (letters > 0.8))
+    sound = sound & (stops <= 0.5) & (symbols < 0.05)
     return {
         "symbols": bad(symbols > 0.1),
         "repeats": bad(again > 0.2),
@@ -137,7 +138,7 @@ def votes() -> dict[str, Column]:
         "no_sentences": bad((F.col("n_words") >= 50) & (stops < 0.01)),
         "loud": bad(loud > 0.1),
         "capitals": bad((F.col("n_letters") >= 50) & (upper > 0.4)),
-        "marks": bad((F.col("word_chars") >= 100) & (letters < 0.7)),
+        "marks": bad(~brief & (letters < 0.7)),
         "sentences": F.when(sound, F.lit(1)).otherwise(F.lit(0)),
     }
 

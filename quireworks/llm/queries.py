@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import mixing, packing, quality
+from quireworks.llm import mixing, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mixing.op4_mixing,
         quality.op6_quality,
         packing.op7_packing,
+        toxicity.op10_toxicity,
     )
 }
 CHECKS: dict[str, str] = {"op4_mixing": mixing.OP4_SQL}
