@@ -227,7 +227,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     name ``score`` is replaced.
     """
     kept = docs.drop("score")
-    at = kept.columns.index("text")
+    at, names_out = kept.columns.index("text"), [*kept.columns, "score"]
     weights = {name: float(w) for name, w in zip(model.names, model.weights) if abs(w) > 1e-9}
     bias = model.bias
 
@@ -247,7 +247,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
                 z = bias + sum(weights[x] for x in sorted(names))
                 scores.append(1 / (1 + np.exp(-min(max(z, -40.0), 40.0))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*kept.columns, "score"]
+                [*batch.columns, pa.array(scores, pa.float64())], names=names_out
             )
 
     return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("score", DoubleType())]))
