@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import mixing, packing, quality, toxicity
+from quireworks.llm import mixing, near_dups, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
+        near_dups.op3_near_dups,
         mixing.op4_mixing,
         quality.op6_quality,
         packing.op7_packing,
