@@ -346,7 +346,10 @@ def model_spans(texts: list[str], model: Crf) -> list[list[Span]]:
             kind, to = (labels[at] - 1) // 2, at + 1
             while to < len(labels) and labels[to] == 2 * kind + 2:
                 to += 1
-            start, end = words[at].start(), words[to - 1].end()
+            last = to
+            while kind and last - 1 > at and not _DIGIT.search(words[last - 1].group()):
+                last -= 1
+            start, end = words[at].start(), words[last - 1].end()
             while end > start and texts[i][end - 1] in ".,;:!?\"'":
                 end -= 1
             while start < end and texts[i][start] in "\"',;:":

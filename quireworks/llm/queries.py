@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import mixing, near_dups, packing, pii, quality, toxicity
+from quireworks.llm import mixing, near_dups, packing, pii, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
         pii.op1_pii,
+        token_counts.op2_token_counts,
         near_dups.op3_near_dups,
         mixing.op4_mixing,
         quality.op6_quality,

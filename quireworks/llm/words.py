@@ -17,19 +17,21 @@ _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 class WordCache:
     """Values of words, computed once while they keep coming.
 
-    Two generations of at most ``limit`` words each bound the memory; what is
-    forgotten is computed again, so the limit changes no result.
+    Two generations of about ``limit`` words each (fewer where they are long) bound the
+    memory; what is forgotten is computed again, so the limit changes no result.
     """
 
-    def __init__(self, compute: Callable[[list[bytes]], Iterable], limit: int = 300_000):
+    def __init__(self, compute: Callable[[list], Iterable], limit: int = 300_000):
         self.compute, self.limit = compute, limit
         self.new: dict = {}
         self.old: dict = {}
+        self.held = 0
 
-    def ready(self, words: Iterable[bytes]) -> dict:
+    def ready(self, words: Iterable) -> dict:
         """A dictionary that holds all of the words, good until the next call."""
-        if len(self.new) > self.limit:
-            self.old, self.new = self.new, {}
+        if len(self.new) > self.limit or self.held > 40 * self.limit:
+            self.old, self.new = (self.new if self.held < 80 * self.limit else {}), {}
+            self.held = 0
         new, old, missing = self.new, self.old, []
         for word in set(words).difference(new):
             value = old.get(word)
@@ -39,6 +41,7 @@ class WordCache:
                 new[word] = value
         if missing:
             new.update(zip(missing, self.compute(missing)))
+            self.held += sum(map(len, missing))
         return new
 
 
