@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import mixing, near_dups, packing, pii, quality, token_counts, toxicity
+from quireworks.llm import mixing, near_dups, packing, pii, quality, repeats, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         token_counts.op2_token_counts,
         near_dups.op3_near_dups,
         mixing.op4_mixing,
+        repeats.op5_repeats,
         quality.op6_quality,
         packing.op7_packing,
         toxicity.op10_toxicity,
