@@ -1,9 +1,11 @@
 """Operator 3: near duplicates by a signature-coordinate inverted join.
 
 A document's set of shingles has a signature of COORDINATES minima. Documents are posted
-under each pair of coordinate and minimum. Two documents that agree in MATCHES coordinates
-agree in one of the first COORDINATES - MATCHES + 1, so only those are posted. Pairs that
-meet are counted over whole signatures, kept from MATCHES on, and confirmed on whole sets.
+under pairs of coordinate and minimum. In any one order of all pairs, two documents that
+agree in MATCHES coordinates share one of their first COORDINATES - MATCHES + 1, so only
+those are posted, the rare ones first: what a line that many documents hold gives comes
+last. Pairs that meet are counted over whole signatures, kept from MATCHES on, and
+confirmed on whole sets.
 
 Lists are merged by skipping: equal sets are one node; every node is first compared with
 one central member of its lists only; lists whose members are connected by then are
@@ -27,13 +29,14 @@ from quireworks.session import materialize
 
 SHINGLE = 4
 PERCENT = 80
-# A pair at the threshold agrees in 28 coordinates with binomial probability 0.8, in fewer
-# than 12 with probability 3e-6.
-COORDINATES, MATCHES = 28, 12
+# A pair at the threshold agrees in 63 coordinates with binomial probability 0.8, in fewer
+# than 35 with probability 3e-6.
+COORDINATES, MATCHES = 63, 35
 PREFIX = COORDINATES - MATCHES + 1
 _PER_LONG = 7  # bytes of signature in a long, so that sums don't overflow
 _LONGS = COORDINATES // _PER_LONG
 _SLICE = 2 << 20
+_BUCKETS = 1 << 16  # counters of the sketch that orders pairs of coordinate and minimum
 _rng = np.random.default_rng(7)
 _A = _rng.integers(1, 1 << 63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, COORDINATES, np.uint64)
@@ -92,29 +95,61 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return map_batches(docs.select("doc_id", as_bytes("text").alias("text")), work, schema)
 
 
+def _keys(column: pa.Array) -> np.ndarray:
+    """A hash of coordinate and minimum, for each coordinate of each signature."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, COORDINATES)
+    return mix(rows ^ mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)))
+
+
+def pair_counts(nodes: DataFrame) -> np.ndarray:
+    """How often pairs of coordinate and minimum occur, by bucket of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_BUCKETS, np.int64)
+        for batch in batches:
+            bucket = _keys(batch.column(0)) % np.uint64(_BUCKETS)
+            total += np.bincount(bucket.ravel().astype(np.int64), minlength=_BUCKETS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+
+    found = nodes.select("minima").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    out = np.zeros(_BUCKETS, np.int64)
+    for row in found.collect():  # at most _BUCKETS rows, whatever the documents
+        out[row["bucket"]] = row["n"]
+    return out
+
+
 def _posts(nodes: DataFrame) -> DataFrame:
-    """(key, doc, n, q0..): a row for each of the first PREFIX coordinates of each node."""
-    salt = mix(np.arange(1, PREFIX + 1, dtype=np.uint64))
+    """(key, doc): a row for each of the PREFIX rarest pairs of each node."""
+    counts = pair_counts(nodes)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64)
-        rows = rows.reshape(-1, COORDINATES)
-        keys = mix(rows[:, :PREFIX] ^ salt)
-        small = mix(rows) & np.uint64(0xFF)
+        keys = _keys(batch.column(1))
+        rare = counts[(keys % np.uint64(_BUCKETS)).astype(np.int64)]
+        order = np.lexsort((keys, rare), axis=1)[:, :PREFIX]  # one order for all nodes
+        posted = np.take_along_axis(keys, order, 1)
+        doc = np.repeat(batch.column(0).to_numpy(), PREFIX)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(posted.ravel().view(np.int64)), pa.array(doc)], names=["key", "doc"]
+        )
+
+    return map_batches(nodes.select("doc", "minima"), work, "key long, doc long")
+
+
+def _packed(nodes: DataFrame) -> DataFrame:
+    """(doc, n, q0..): signatures of a byte for each coordinate, seven to a number."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        small = (_keys(batch.column(2)) >> np.uint64(20)) & np.uint64(0xFF)
+        shift = np.uint64(8) * np.arange(_PER_LONG, dtype=np.uint64)
         packed = [
-            (small[:, k : k + _PER_LONG] << (np.uint64(8) * np.arange(_PER_LONG, dtype=np.uint64)))
-            .sum(1, dtype=np.uint64)
+            (small[:, k : k + _PER_LONG] << shift).sum(1, dtype=np.uint64).view(np.int64)
             for k in range(0, COORDINATES, _PER_LONG)
-        ]
-        again = [
-            np.repeat(x, PREFIX)
-            for x in (batch.column(0).to_numpy(), batch.column(1).to_numpy(), *packed)
         ]
-        columns = [keys.ravel().view(np.int64), *(x.astype(np.int64) for x in again)]
-        names = ["key", "doc", "n", *(f"q{k}" for k in range(_LONGS))]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+        names = ["doc", "n", *(f"q{k}" for k in range(_LONGS))]
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], *map(pa.array, packed)], names=names)
 
-    schema = "key long, doc long, n long, " + ", ".join(f"q{k} long" for k in range(_LONGS))
+    schema = "doc long, n long, " + ", ".join(f"q{k} long" for k in range(_LONGS))
     return map_batches(nodes.select("doc", "n", "minima"), work, schema)
 
 
@@ -182,9 +217,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     posts = _posts(classes)
     lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     posts = posts.join(lists, "key").checkpoint()
+    members = posts.select("doc").distinct()
+    posts = posts.join(_packed(classes).join(members, "doc", "left_semi"), "doc").checkpoint()
 
     # Every text that shares a list, once, for the confirmations.
-    members = posts.select("doc").distinct()
     texts, _ = materialize(
         docs.select(F.col("doc_id").alias("doc"), as_bytes("text").alias("text")).join(members, "doc", "left_semi"),
         "members",
