@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -54,6 +55,13 @@ def cut(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatc
         yield batch.slice(start)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps: Spark deletes them with the plans' objects,
+    which else wait for the driver to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def with_position(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, DataFrame]:
     """Add the 0-based position of each row in a global order; also give rows per partition.
 

@@ -8,9 +8,9 @@ through the dictionary of phrases:
 
 * an occurrence of a phrase that also stands earlier repeats in all its windows;
 * a phrase that is alone with its trigger string is new in all its windows;
-* where several phrases share a trigger string, the suffixes of the first occurrence of
-  each, as long as a window, are put in order with those of all other such phrases, and of
-  equal ones the first in corpus order is new.
+* where several phrases share a trigger string, those of their windows whose middles also
+  stand elsewhere, of the first occurrence of each phrase, are put in order with those of
+  all other such phrases, and of equal ones the first in corpus order is new.
 
 So nearly all work is a row per phrase, not per byte, and repetition makes the dictionary
 smaller. What is equal within an Arrow batch is combined before any shuffle.
@@ -24,11 +24,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quireworks.llm.common import as_bytes, map_batches, spread_table
+from quireworks.llm.common import as_bytes, map_batches, release, spread_table
 from quireworks.llm.words import mix
+from quireworks.session import materialize
 
 LENGTH = 100
 GRAM = 32
@@ -37,7 +38,8 @@ _INDEX = np.uint64((1 << 21) - 1)
 _MANY = 16  # phrases of one trigger string in a batch from which all are put in order
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _NULL = -(1 << 63)  # stands for a null doc_id
-_CHECK = (1 << 25) - 1
+_CHECK = (1 << 18) - 1
+_BLOCK = 8  # neighbouring windows whose common middle is looked up first
 _MOST = 127  # windows in one row
 _powers: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -78,9 +80,15 @@ def check_of(text: bytes) -> int:
     return zlib.crc32(text) & _CHECK
 
 
-def place(start: np.ndarray, count: np.ndarray, check: np.ndarray) -> np.ndarray:
-    """First window, number of windows and check of the text in one number; orders by start."""
-    return (start.astype(np.int64) << 32) | (count.astype(np.int64) << 25) | check.astype(np.int64)
+def place(start: np.ndarray, count: np.ndarray, back: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """First window, number of windows, bytes from the first window to the trigger, and check of
+    the text, in one number that orders by the first window."""
+    parts = (start, 32), (count, 25), (back, 18), (check, 0)
+    return sum(x.astype(np.int64) << shift for x, shift in parts)
+
+
+def _parts(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return at >> 32, (at >> 25) & 127, (at >> 18) & 127
 
 
 def _slices(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
@@ -106,7 +114,8 @@ def _slices(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, list[
 
 
 def phrases(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Of each phrase: text, first window, number of windows, trigger hash, phrase hash."""
+    """Of each phrase: text, first window, number of windows, way to the trigger, and the hashes
+    of the trigger string and of the phrase."""
     out: list[tuple[np.ndarray, ...]] = []
     for data, segments in _slices(texts, length):
         hashes = Hashes(data)
@@ -128,10 +137,11 @@ def phrases(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
         first, number = at[new], np.diff(np.append(new, len(at)))
         where = segment[new]
         whole = hashes.of(1, first, first + number + length - 1)
-        whole = mix(whole ^ (own[new] - first).astype(np.uint64))
-        out.append((text[where], first - begin[where] + offset[where], number, values[own[new]], whole))
+        back = own[new] - first
+        whole = mix(whole ^ back.astype(np.uint64))
+        out.append((text[where], first - begin[where] + offset[where], number, back, values[own[new]], whole))
     if not out:
-        return tuple(np.zeros(0, d) for d in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, d) for d in (*[np.int64] * 4, np.uint64, np.uint64))
     return tuple(map(np.concatenate, zip(*out)))
 
 
@@ -164,12 +174,12 @@ def _phrase_rows(length: int, gram: int) -> Callable[[pa.RecordBatch], pa.Record
         texts = batch.column(1).to_pylist()
         docs = batch.column(0).to_numpy()
         checks = np.fromiter(map(check_of, texts), np.int64, len(texts))
-        text, start, number, a, b = phrases(texts, length, gram)
+        text, start, number, back, a, b = phrases(texts, length, gram)
         if not len(text):
             return None
         order, first = _first_of(a, b, docs[text], start)
-        text, start, number, a, b = (x[order] for x in (text, start, number, a, b))
-        at, doc = place(start, number, checks[text]), docs[text]
+        text, start, number, back, a, b = (x[order] for x in (text, start, number, back, a, b))
+        at, doc = place(start, number, back, checks[text]), docs[text]
         kind = np.where(first, ASK, KNOWN).astype(np.int32)
         # Trigger strings with very many phrases: all of them are put in order, wherever
         # else the string stands; one mark tells the others so.
@@ -190,6 +200,68 @@ def _phrase_rows(length: int, gram: int) -> Callable[[pa.RecordBatch], pa.Record
     return work
 
 
+def _own_places(places: pa.Array, i: int, check: int) -> np.ndarray:
+    """The places of a row's list that are its text's."""
+    own = places[i].values.to_numpy()
+    return np.unique(own[(own & _CHECK) == check])
+
+
+def _ranges(first: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each row, one after the other."""
+    return np.repeat(first - (np.cumsum(number) - number), number) + np.arange(number.sum())
+
+
+def _middle_rows(length: int) -> Callable[[pa.RecordBatch], pa.RecordBatch | None]:
+    """Blocks of windows that have the same way to their trigger but for the last bits, keyed by
+    what all windows of such a block hold: (doc, text, places) to rows."""
+    size = length - _BLOCK + 1
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        texts, places = batch.column(1).to_pylist(), batch.column(2)
+        docs = batch.column(0).to_numpy()
+        checks = np.fromiter(map(check_of, texts), np.int64, len(texts))
+        blocks = []
+        for i in range(len(texts)):
+            start, number, back = _parts(_own_places(places, i, checks[i]))
+            low, high = (back - number + 1) // _BLOCK, back // _BLOCK
+            block = _ranges(low, high - low + 1)
+            start, number, back = (np.repeat(x, high - low + 1) for x in (start, number, back))
+            middle = start + back - _BLOCK * block
+            first = np.maximum(start, middle - _BLOCK + 1)
+            last = np.minimum(start + number - 1, middle)
+            blocks.append((block, middle, first, last - first + 1, start + back - first))
+        out = []
+        for data, segments in _slices(texts, length):
+            hashes = Hashes(data)
+            for i, offset, begin, count in segments:
+                block, middle, first, number, back = blocks[i]
+                at = np.minimum(middle, len(texts[i]) - length)
+                here = np.flatnonzero((at >= offset) & (at < offset + count))
+                p = middle[here] - offset + begin
+                a, b = (mix(hashes.of(k, p, p + size) + block[here].astype(np.uint64)) for k in (0, 1))
+                where = place(first[here], number[here], back[here], np.full(len(here), checks[i]))
+                out.append((np.full(len(here), docs[i]), where, a, b))
+        if not out:
+            return None
+        doc, at, a, b = map(np.concatenate, zip(*out))
+        order = np.lexsort((b, a))
+        doc, at, a, b = (x[order] for x in (doc, at, a, b))
+        group = _groups(a, b)
+        counts = np.bincount(group)
+        many = counts[group] > 1
+        marks = np.flatnonzero(many & (np.diff(group, prepend=-1) > 0))
+        key_a, key_b = a[marks], b[marks]
+        spread = mix(at.astype(np.uint64) ^ doc.astype(np.uint64))
+        zero = np.zeros(len(marks), np.int64)
+        return _rows(
+            np.concatenate([np.where(many, spread, a), key_a]), np.concatenate([b, key_b]),
+            np.concatenate([doc, zero]), np.concatenate([at, zero]),
+            np.concatenate([np.where(many, SEVERAL, ASK), np.full(len(marks), MARK)]).astype(np.int32),
+        )
+
+    return work
+
+
 def _window_rows(length: int) -> Callable[[pa.RecordBatch], pa.RecordBatch | None]:
     """Windows of phrases to put in order: (doc, text, places) to rows keyed by their hashes."""
 
@@ -199,10 +271,8 @@ def _window_rows(length: int) -> Callable[[pa.RecordBatch], pa.RecordBatch | Non
         checks = np.fromiter(map(check_of, texts), np.int64, len(texts))
         wanted = []
         for i in range(len(texts)):
-            own = places[i].values.to_numpy()
-            own = np.unique(own[(own & _CHECK) == checks[i]])
-            first, number = own >> 32, (own >> 25) & 127
-            wanted.append(np.unique(np.repeat(first - (np.cumsum(number) - number), number) + np.arange(number.sum())))
+            first, number, _ = _parts(_own_places(places, i, checks[i]))
+            wanted.append(np.unique(_ranges(first, number)))
         out = []
         for data, segments in _slices(texts, length):
             hashes = Hashes(data)
@@ -223,12 +293,12 @@ def _window_rows(length: int) -> Callable[[pa.RecordBatch], pa.RecordBatch | Non
         k = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         t, s = np.repeat(t[new], pieces), np.repeat(s[new], pieces) + k * _MOST
         number = np.minimum(np.repeat(number, pieces) - k * _MOST, _MOST)
-        at = place(s, number, checks[t])
+        at = place(s, number, 0 * s, checks[t])
         spread = mix(at.astype(np.uint64) ^ docs[t].astype(np.uint64))
         return _rows(
             np.concatenate([a[asks], spread]), np.concatenate([b[asks], spread]),
             np.concatenate([docs[text[asks]], docs[t]]),
-            np.concatenate([place(start[asks], np.ones(len(asks), np.int64), checks[text[asks]]), at]),
+            np.concatenate([place(start[asks], 0 * asks + 1, 0 * asks, checks[text[asks]]), at]),
             np.repeat(np.array([ASK, KNOWN], np.int32), [len(asks), len(t)]),
         )
 
@@ -242,18 +312,48 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     same and an earlier start; rows that repeat a doc_id are compared as one document, so a
     repeated row removes nothing from its double.
     """
-    # The same exchange serves both joins.
+    spark = docs.sparkSession
     named = docs.select(
         F.coalesce("doc_id", F.lit(_NULL)).alias("doc"), as_bytes("text").alias("text")
     )
+    marks = _written(_judged_phrases(named, length, gram), "phrases")
+    release(spark)
+    unsettled = marks.filter(F.col("kind") == SEVERAL)
+    shared = _written(_shared_blocks(named, unsettled, length), "blocks")
+    release(spark)
+
+    # The same exchange of texts serves both joins.
     by_doc = named.repartition("doc")
+    windows = map_batches(_with_places(by_doc, shared), _window_rows(length), ROWS).withColumn("local", _local())
+    same = Window.partitionBy("local", "a", "b").orderBy("doc", F.shiftright("at", 32))
+    again = windows.withColumn("rank", F.rank().over(same)).filter((F.col("kind") == KNOWN) | (F.col("rank") > 1))
+    found = marks.filter(F.col("kind") == KNOWN).select("doc", "at").unionByName(again.select("doc", "at"))
+    return by_doc.join(_lists(found), "doc", "left")
+
 
-    rows = map_batches(named, _phrase_rows(length, gram), ROWS)
-    start = F.shiftright("at", 32)
-    local = F.col("kind").isin(KNOWN, SEVERAL).alias("local")
-    rows = rows.withColumn("local", local)
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    return materialize(df, purpose)[0]
+
+
+def _local() -> Column:
+    """Rows that need no others; their keys only spread them."""
+    return F.col("kind").isin(KNOWN, SEVERAL)
+
+
+def _lists(places: DataFrame) -> DataFrame:
+    """The places of each document, as a list that is no longer than its text."""
+    return places.groupBy("doc").agg(F.collect_list("at").alias("places"))
+
+
+def _with_places(texts: DataFrame, places: DataFrame) -> DataFrame:
+    return texts.join(_lists(places), "doc").select("doc", "text", "places")
+
+
+def _judged_phrases(named: DataFrame, length: int, gram: int) -> DataFrame:
+    """(doc, at, kind) of phrases that repeat (KNOWN) or share a trigger string (SEVERAL)."""
+    rows = map_batches(named, _phrase_rows(length, gram), ROWS).withColumn("local", _local())
     trigger = Window.partitionBy("local", "a")
-    phrase = Window.partitionBy("local", "a", "b").orderBy("doc", start)
+    phrase = Window.partitionBy("local", "a", "b").orderBy("doc", F.shiftright("at", 32))
     judged = rows.withColumn("rank", F.rank().over(phrase)).withColumn(
         "several", (F.min("b").over(trigger) != F.max("b").over(trigger)) | (F.max("kind").over(trigger) == MARK)
     )
@@ -262,24 +362,22 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         F.when((F.col("kind") == KNOWN) | (ask & (F.col("rank") > 1)), KNOWN)
         .when((F.col("kind") == SEVERAL) | (ask & F.col("several")), SEVERAL)
     )
-    marks = judged.select("doc", "at", kind.alias("kind")).filter("kind IS NOT NULL").checkpoint()
+    return judged.select("doc", "at", kind.alias("kind")).filter("kind IS NOT NULL")
 
-    # Windows of the phrases that share a trigger string with others.
-    unsettled = marks.filter(F.col("kind") == SEVERAL).groupBy("doc").agg(F.collect_list("at").alias("places"))
-    candidates = by_doc.join(unsettled, "doc").select("doc", "text", "places")
-    windows = map_batches(candidates, _window_rows(length), ROWS).withColumn("local", local)
-    same = Window.partitionBy("local", "a", "b").orderBy("doc", start)
-    again = windows.withColumn("rank", F.rank().over(same)).filter((F.col("kind") == KNOWN) | (F.col("rank") > 1))
 
-    found = marks.filter(F.col("kind") == KNOWN).select("doc", "at").unionByName(again.select("doc", "at"))
-    places = found.groupBy("doc").agg(F.collect_list("at").alias("places"))
-    return by_doc.join(places, "doc", "left")
+def _shared_blocks(named: DataFrame, unsettled: DataFrame, length: int) -> DataFrame:
+    """(doc, at) of blocks of the unsettled windows whose middles stand in more than one place."""
+    rows = map_batches(_with_places(named, unsettled), _middle_rows(length), ROWS).withColumn("local", _local())
+    middle = Window.partitionBy("local", "a", "b")
+    judged = rows.withColumn("others", F.count(F.lit(1)).over(middle))
+    shared = (F.col("kind") == SEVERAL) | ((F.col("kind") == ASK) & (F.col("others") > 1))
+    return judged.filter(shared).select("doc", "at")
 
 
 def covered(size: int, places: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Which bytes of a text its places cover."""
     change = np.zeros(size + 1, np.int32)
-    start, number = places >> 32, (places >> 25) & 127
+    start, number, _ = _parts(places)
     np.add.at(change, start, 1)
     np.add.at(change, start + number + length - 1, -1)
     return np.cumsum(change[:size]) > 0
