@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import fixity, mixing, near_dups, packing, pii, quality, repeats, token_counts, toxicity
+from quireworks.llm import fixity, mixing, near_dups, neighbours, packing, pii, quality, repeats, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         repeats.op5_repeats,
         quality.op6_quality,
         packing.op7_packing,
+        neighbours.op8_neighbours,
         fixity.op9_fixity,
         toxicity.op10_toxicity,
     )
