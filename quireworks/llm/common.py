@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quireworks.session import spread_over_cores
+from quireworks.session import materialize, spread_over_cores
 
 WORD = "[^\\x20\\x09-\\x0D]+"  # fixed by the contracts; bytes.split() cuts at the same six characters
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, position below
@@ -62,17 +62,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def with_position(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, DataFrame]:
-    """Add the 0-based position of each row in a global order; also give rows per partition.
+def with_position(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add the 0-based position of each row in a global order.
 
-    The rows are range-partitioned, sorted and checkpointed (a second evaluation could
-    draw other bounds), each partition counts its rows, and one count per partition is
-    summed up: no task sees more than its share, whatever the keys. Equal rows take
-    neighbouring positions in any order.
+    The rows are range-partitioned, sorted and written (a second evaluation could draw
+    other bounds), each partition counts its rows, and one count per partition is summed
+    up: no task sees more than its share, whatever the keys. Equal rows take neighbouring
+    positions in any order.
     """
     at = f"_{name}_at"
     part = f"_{name}_part"
-    rows = df.orderBy(*order).withColumn(at, F.monotonically_increasing_id()).checkpoint()
+    rows, _ = materialize(df.orderBy(*order).withColumn(at, F.monotonically_increasing_id()), name)
     rows = rows.withColumn(part, F.shiftright(at, _POSITION_BITS))
     counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
@@ -80,4 +80,4 @@ def with_position(df: DataFrame, order: list[Column], name: str) -> tuple[DataFr
     # One row per shuffle partition, so the broadcast has a fixed bound.
     joined = rows.join(F.broadcast(offsets), part)
     local = F.col(at).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return joined.withColumn(name, F.col("_offset") + local).drop(at, part, "_offset"), counts
+    return joined.withColumn(name, F.col("_offset") + local).drop(at, part, "_offset")

@@ -40,7 +40,7 @@ def lay_out(records: DataFrame, per_archive: int = RECORDS) -> DataFrame:
     order is made by ranges, so no key, however frequent, is gathered in one task.
     """
     order = [F.col(c).asc_nulls_last() for c in ("page_id", "url", "sha256")]
-    placed, _ = with_position(records, order, "position")
+    placed = with_position(records, order, "position")
     before = Window.partitionBy("archive").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     return (
         placed.withColumn("archive", F.floor(F.col("position") / per_archive).cast("long"))

@@ -76,19 +76,28 @@ def mix_sources(
     Null text: size 0. Null source: a source of its own, the last. Empty table: no rows.
     Documents without words may get copies, which take no words. Repeated rows count as
     documents of their own. Other columns are ignored.
+    """
+    sizes = docs.select("doc_id", "source", _size().alias("size")).checkpoint()
+    return _with_copies(sizes, weights, share, most, seed).select(
+        "doc_id", "source", "size", "source_size", "target", "copies"
+    )
+
+
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
 
-    The sizes are narrowed and checkpointed first, since ordering samples its input; the
-    order is by range of (source, size, doc_id), so a hot source spreads over tasks.
+def _with_copies(
+    rows: DataFrame, weights: tuple[int, ...], share: float, most: float, seed: int
+) -> DataFrame:
+    """Add the source's columns and copies to rows of (doc_id, source, size, ...).
+
+    The order is by range of (source, size, doc_id), so a hot source spreads over tasks.
     """
-    sizes = docs.select(
-        "doc_id",
-        "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-    ).checkpoint()
     order = [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("doc_id").asc_nulls_last()]
-    placed, _ = with_position(sizes, order, "idx")
-    # One row per source, made of ranges; joined with null sources kept.
-    targets = source_targets(sizes, weights, share, most).withColumnRenamed("source", "_source")
+    placed = with_position(rows, order, "idx")
+    # One row per source; joined with null sources kept.
+    targets = source_targets(placed, weights, share, most).withColumnRenamed("source", "_source")
     joined = placed.join(F.broadcast(targets), F.col("source").eqNullSafe(F.col("_source")))
     rate = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
     rank = (F.col("idx") - F.col("first")).cast("double")
@@ -96,7 +105,25 @@ def mix_sources(
     crossed = F.floor((rank + 1) * rate + offset) - F.floor(rank * rate + offset)
     # Rounding may not push a document over the whole number above its rate.
     copies = F.least(crossed, F.ceil(rate)).cast("long")
-    return joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+    return joined.withColumn("copies", copies)
+
+
+def repeat_documents(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    most: float = MOST,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of the mix: each document as often as ``mix_sources`` takes it, all columns kept.
+
+    Whole rows go through the ordering, so that no key has to find them again; a row gives
+    at most ``most`` rows, rounded up.
+    """
+    rows = docs.select("doc_id", "source", _size().alias("size"), F.struct("*").alias("doc"))
+    mixed = _with_copies(rows, weights, share, most, seed)
+    turns = F.array_repeat(F.lit(0), F.col("copies").cast("int"))
+    return mixed.select("doc", F.explode(turns).alias("turn")).select("doc.*")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
