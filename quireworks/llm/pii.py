@@ -1,7 +1,8 @@
 """Operator 1: personal data by patterns and a linear-chain conditional random field.
 
 Patterns with checks give the base spans. A conditional random field over word shapes,
-trained on a small labelled table, reads the words around digits and at-signs and adds
+trained on a small labelled table, reads the words around digits and at-signs (or an
+address spelt with at and dot) and adds
 what the patterns miss: addresses in words, local telephone numbers, cut-up numbers. It is
 decoded by Viterbi in numpy, many windows of words at a time.
 """
@@ -35,6 +36,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _SIGNAL = re.compile(r"[0-9@]")
+_SPELT = re.compile(r"\bat\W+\S+\s+\W?dot\b", re.IGNORECASE)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 # The small labelled table: personal data in brackets after its kind.
@@ -295,10 +297,15 @@ def viterbi(model: Crf, rows: list[list[list[str]]], most: int = 1 << 16) -> lis
     return found
 
 
+def signals(text: str) -> bool:
+    """Whether a text or line has anything that a span of any kind needs."""
+    return bool(_SIGNAL.search(text) or (("dot" in text or "DOT" in text) and _SPELT.search(text)))
+
+
 def _windows(text: str) -> Iterator[list[re.Match]]:
     """Runs of words of a line near a digit or an at-sign; nothing else can be found there."""
     for line in re.finditer(r"[^\n]+", text):
-        if not _SIGNAL.search(line.group()):
+        if not signals(line.group()):
             continue
         words = list(_WORD.finditer(text, line.start(), line.end()))
         near = [
@@ -362,7 +369,7 @@ def model_spans(texts: list[str], model: Crf) -> list[list[Span]]:
 
 def find_spans(texts: list[str], model: Crf) -> list[tuple[list[Span], list[Span]]]:
     """Base spans, and the model's spans that overlap none of them, of each text."""
-    some = [i for i, text in enumerate(texts) if _SIGNAL.search(text)]
+    some = [i for i, text in enumerate(texts) if signals(text)]
     out: list[tuple[list[Span], list[Span]]] = [([], []) for _ in texts]
     for i, added in zip(some, model_spans([texts[i] for i in some], model)):
         base = base_spans(texts[i])
