@@ -6,6 +6,7 @@ BENCH_SF_DIR names the data folder and BENCH_CPUS the number of local threads.
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -27,6 +28,8 @@ HEADLINE = (
     "ingest_dedupe",
     "ingest_stream",
     "document_concat",
+    "file_listing",
+    "ingest_file_stream",
     "batch_plan",
     "topk_cosine",
     "topk_batch",
@@ -43,6 +46,7 @@ def main() -> None:
     spark = build_session(
         "bench",
         f"local[{cpus}]",
+        tempfile.mkdtemp(prefix="bench-"),
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "8g",

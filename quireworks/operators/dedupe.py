@@ -60,27 +60,14 @@ def known_hashes(
     return stored.distinct().join(batch, key, "left_semi")
 
 
-def drop_known(
-    chunks: DataFrame,
-    known: DataFrame,
-    key: str = "content_hash",
-    spread: Sequence[str] | None = CHUNK_ORDER,
-) -> DataFrame:
-    """Chunks whose hash is not known. ``spread`` tells copies of one hash apart; None says
-    that there are none (after ``first_seen``), and the join keeps that partitioning."""
-    if spread is None:
-        return chunks.join(known.select(key), key, "left_anti")
-    return lookup(chunks, known.select(key), key, "left_anti", spread)
+def drop_known(chunks: DataFrame, known: DataFrame, key: str = "content_hash") -> DataFrame:
+    """Chunks whose hash is not known. After ``first_seen`` the join keeps that partitioning."""
+    return lookup(chunks, known.select(key), key, "left_anti")
 
 
-def keep_known(
-    chunks: DataFrame,
-    known: DataFrame,
-    key: str = "content_hash",
-    spread: Sequence[str] = CHUNK_ORDER,
-) -> DataFrame:
+def keep_known(chunks: DataFrame, known: DataFrame, key: str = "content_hash") -> DataFrame:
     """The other side of ``drop_known``: chunks whose hash is known."""
-    return lookup(chunks, known.select(key), key, "left_semi", spread)
+    return lookup(chunks, known.select(key), key, "left_semi")
 
 
 def distinct_hashes(stored: DataFrame, key: str = "content_hash") -> DataFrame:

@@ -2,32 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-SALTS = 16
 
 
-def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str,
-    spread: Sequence[str],
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     """Join ``left`` to the lookup table ``right`` on ``key`` (inner, left_semi, left_anti).
 
-    Rows of one key are spread over ``salts`` tasks by a hash of the columns ``spread``,
-    which must tell rows of a key apart, and every lookup row is copied to each of them.
-    The salt depends on the row alone, so a task that runs again routes its rows the same
-    way. A lookup table that Catalyst finds small enough is broadcast all the same.
+    A lookup table that Catalyst finds small is broadcast. Else adaptive execution splits a
+    left partition that a hot key makes large (all three kinds allow that) and gives each
+    part its own copy of the lookup rows, by measured sizes.
     """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    joined = left.withColumn("_salt", salt).join(
-        right.withColumn("_salt", copies), [key, "_salt"], how
-    )
-    return joined.drop("_salt")
+    return left.join(right, key, how)

@@ -22,7 +22,7 @@ def ingest_summary(
     """
     by = list(by)
     total = chunks.groupBy(*by).agg(F.count(F.lit(1)).alias("total_chunks"))
-    new = drop_known(first_seen_keys(chunks), known, spread=None)
+    new = drop_known(first_seen_keys(chunks), known)
     new = new.groupBy(*by).agg(F.count(F.lit(1)).alias("new_chunks"))
     if by:
         both = total.join(new, by, "left")
@@ -78,24 +78,24 @@ def duplicate_keys(rows: DataFrame, key: str = "uuid") -> DataFrame:
 
 
 def collection_rows(
-    rows: DataFrame, collections: DataFrame, key: str = "collection_id", row_key: str = "uuid"
+    rows: DataFrame, collections: DataFrame, key: str = "collection_id"
 ) -> DataFrame:
     """Rows with the columns of their collection; a collection may hold most of the rows."""
-    return lookup(rows, collections, key, "inner", [row_key])
+    return lookup(rows, collections, key, "inner")
 
 
 def orphan_rows(
-    rows: DataFrame, collections: DataFrame, key: str = "collection_id", row_key: str = "uuid"
+    rows: DataFrame, collections: DataFrame, key: str = "collection_id"
 ) -> DataFrame:
     """Rows whose collection does not exist: empty where the foreign key holds."""
-    return lookup(rows, collections.select(key).distinct(), key, "left_anti", [row_key])
+    return lookup(rows, collections.select(key).distinct(), key, "left_anti")
 
 
 def cascade_delete(
-    rows: DataFrame, doomed: DataFrame, key: str = "collection_id", row_key: str = "uuid"
+    rows: DataFrame, doomed: DataFrame, key: str = "collection_id"
 ) -> DataFrame:
     """Rows left after the doomed collections and everything in them are gone."""
-    return lookup(rows, doomed.select(key).distinct(), key, "left_anti", [row_key])
+    return lookup(rows, doomed.select(key).distinct(), key, "left_anti")
 
 
 def null_byte_titles(pages: DataFrame, has_nul: Column, title: str = "title") -> DataFrame:

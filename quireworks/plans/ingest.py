@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from quireworks.operators.dedupe import (
 )
 from quireworks.operators.embedding import Model, embed_documents
 from quireworks.operators.ledger import new_files, new_titles
-from quireworks.session import delete_path, materialize
+from quireworks.session import delete_path, scratch_dir
 from quireworks.sources.files import (
     PDF_GLOB,
     Decoder,
@@ -42,6 +43,7 @@ class IngestResult:
     batch_id: str
     new_chunks: int
     skipped_chunks: int
+    failed_files: int = 0
 
     @property
     def total_chunks(self) -> int:
@@ -72,14 +74,19 @@ def hashed_chunks(
     return chunks.select(*CHUNK_ORDER, "content", content_hash(F.col("content")).alias("content_hash"))
 
 
-def stored_rows(chunks: DataFrame, collection: str, dedupe: bool) -> DataFrame:
-    """Chunks in the columns of the store, still without their embedding."""
+def stored_rows(chunks: DataFrame, collection: str, dedupe: bool, batch_id: str = "") -> DataFrame:
+    """Chunks in the columns of the store, still without their embedding.
+
+    With ``dedupe`` a row's key is that of its content. Without, equal chunks are rows of
+    their own: the key is made of the batch and the row's place in it, so the chunks must
+    be staged ones, which every reading finds in the same place.
+    """
     hash_ = F.col("content_hash")
     if dedupe:
         key = row_uuid(F.lit(collection), hash_)
         metadata = metadata_json(F.col("title"), hash_)
     else:
-        key = row_uuid(F.lit(collection), *[F.col(c) for c in CHUNK_ORDER], hash_)
+        key = row_uuid(F.lit(collection), F.lit(batch_id), F.monotonically_increasing_id())
         metadata, hash_ = metadata_json(F.col("title")), F.lit(None).cast("string")
     return chunks.select(
         key.alias("uuid"),
@@ -105,8 +112,8 @@ def new_chunks(
     winners = first_seen(chunks)
     if n_chunks is not None and n_chunks <= max_broadcast:
         known = known_hashes(chunks, stored, max_broadcast=max_broadcast, n_chunks=n_chunks)
-        return drop_known(winners, known, spread=None)
-    return drop_known(winners, stored, spread=None)
+        return drop_known(winners, known)
+    return drop_known(winners, stored)
 
 
 def insert_publications(
@@ -128,21 +135,17 @@ def insert_publications(
     """
     spark = df.sparkSession
     batch_id = batch_id or uuid.uuid4().hex
-    chunks = hashed_chunks(df, **chunking)
-    if not dedupe:
-        rows = stored_rows(chunks, collection, dedupe=False)
+    with staged_rows(hashed_chunks(df, **chunking), "chunks") as staged:
+        total = staged.count()
+        if dedupe:
+            stored = store.hashes(collection, without_batch=batch_id)
+            fresh = new_chunks(staged, stored, total, max_broadcast)
+        else:
+            fresh = staged
+        rows = stored_rows(fresh, collection, dedupe, batch_id)
         store.append(embed_documents(rows, model), collection, batch_id)
-        return IngestResult(batch_id, store.batch_count(collection, batch_id), 0)
-
-    staged, stage = materialize(chunks, "chunks")
-    total = staged.count()
-    stored = store.hashes(collection, without_batch=batch_id)
-    fresh = new_chunks(staged, stored, total, max_broadcast)
-    rows = stored_rows(fresh, collection, dedupe=True)
-    store.append(embed_documents(rows, model), collection, batch_id)
-    new = store.batch_count(collection, batch_id)
-    delete_path(spark, stage)
-    return IngestResult(batch_id, new, total - new)
+        new = store.batch_count(collection, batch_id)
+        return IngestResult(batch_id, new, total - new)
 
 
 def store_documents(
@@ -178,9 +181,11 @@ def ingest_directory(
     glob: str = PDF_GLOB,
     **options,
 ) -> IngestResult:
-    """Every file below a folder, without a ledger. Files that fail to decode are left out."""
-    pages = page_rows(decode_pages(read_files(spark, [path], glob), decoder))
-    return insert_publications(pages, store, collection, model, **options)
+    """Every file below a folder, without a ledger. Files that fail to decode are left out and
+    counted; ``failures`` names a folder for their paths and errors."""
+    files = read_files(spark, [path], glob)
+    with staged_rows(decode_pages(files, decoder), "pages") as pages:
+        return insert_decoded(pages, store, collection, model, **options)
 
 
 def ingest_new_titles(
@@ -192,30 +197,46 @@ def ingest_new_titles(
     **options,
 ) -> IngestResult:
     """Pages of titles the ledger does not hold, appended without hash de-duplication."""
-    fresh = new_titles(pages, ledger.read())
-    result = insert_publications(fresh, store, collection, model, dedupe=False, **options)
-    ledger.commit(fresh)
-    return result
+    with staged_rows(new_titles(pages, ledger.read()), "titles") as fresh:
+        # The batch is named by its titles: the same call after a crash replaces it.
+        titles = fresh.select(F.xxhash64("title").alias("h")).distinct()
+        name = titles.agg(F.count(F.lit(1)), F.bit_xor("h"), F.sum(F.shiftright("h", 8))).first()
+        options.setdefault("batch_id", "titles-" + "-".join(str(x) for x in name))
+        result = insert_publications(fresh, store, collection, model, dedupe=False, **options)
+        ledger.commit(fresh)
+        return result
 
 
-def ingest_pages_of_files(
-    files: DataFrame,
-    decoder: Decoder,
+def insert_decoded(
+    pages: DataFrame,
     store: CollectionStore,
     collection: str,
     model: Model,
-    batch_id: str,
+    batch_id: str | None = None,
+    failures: str | None = None,
     **options,
-) -> tuple[IngestResult, DataFrame, str]:
-    """Decode files once into the scratch folder and insert their pages.
-
-    Returns the result, the decoded pages (with ``error``) and the folder they are in,
-    which the caller deletes.
-    """
-    pages, stage = materialize(decode_pages(files, decoder), "pages")
-    fresh = page_rows(pages.filter(F.col("error").isNull()))
-    result = insert_publications(fresh, store, collection, model, batch_id, **options)
-    return result, pages, stage
+) -> IngestResult:
+    """Insert the pages of decoded (and staged) files; count those that failed, and record
+    their ``source`` and ``error`` by batch in the folder ``failures`` if one is named."""
+    batch_id = batch_id or uuid.uuid4().hex
+    failed = pages.filter(F.col("error").isNotNull()).select("source", "error")
+    n_failed = failed.count()
+    if failures is not None:
+        failed.write.mode("overwrite").parquet(f"{failures}/batch_id={batch_id}")
+    good = page_rows(pages.filter(F.col("error").isNull()))
+    result = insert_publications(good, store, collection, model, batch_id, **options)
+    return replace(result, failed_files=n_failed)
+
+
+@contextmanager
+def staged_rows(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """Rows written to the scratch folder, which goes when the work with them ends or fails."""
+    path = scratch_dir(df.sparkSession, purpose)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(df.sparkSession, path)
 
 
 def ingest_files_in_batches(
@@ -243,14 +264,8 @@ def ingest_files_in_batches(
     for number in range(1, last + 1):
         # At most files_per_batch names; the reader needs them to open nothing else.
         names = [r.path for r in plan.filter(F.col("batch_no") == number).collect()]
-        result, pages, stage = ingest_pages_of_files(
-            read_files(spark, names, glob), decoder, store, collection, model,
-            batch_id=uuid.uuid4().hex, **options,
-        )
-        done = spark.createDataFrame([(n,) for n in names], "path string")
-        failed = pages.filter(F.col("error").isNotNull()).select(F.col("source").alias("path"))
-        ledger.commit(done.join(failed, "path", "left_anti"))
-        delete_path(spark, stage)
-        results.append(result)
+        with staged_rows(decode_pages(read_files(spark, names, glob), decoder), "pages") as pages:
+            results.append(insert_decoded(pages, store, collection, model, **options))
+            ledger.commit(pages.filter(F.col("error").isNull()).select(F.col("source").alias("path")))
     plan.unpersist()
     return results

@@ -112,7 +112,7 @@ def _batch_and_known(spark, folder):
     keys = hashed_chunks(pages(spark, folder)).drop("content")
     batch, _ = materialize(keys, "chunks")
     stored = _labelled(batch, spark, folder)
-    return batch, known_hashes(batch, stored)
+    return batch, known_hashes(batch, stored, n_chunks=batch.count())
 
 
 @query(

@@ -88,14 +88,60 @@ def ingest_result(spark, folder):
 @query(
     "ingest_append",
     f"""WITH RECURSIVE {chunks(PAGES)}
-        SELECT sha256(concat_ws(chr(1), 'papers', title, page_no, chunk_idx, content_hash)) AS uuid,
-               content AS document, json_object('title', title)::VARCHAR AS cmetadata
-        FROM chunks""",
+        SELECT content AS document, json_object('title', title)::VARCHAR AS cmetadata FROM chunks""",
 )
 def ingest_append(spark, folder):
     store = _store(spark)
     insert_publications(pages(spark, folder), store, COLLECTION, MODEL, dedupe=False)
-    return store.rows(COLLECTION).select("uuid", "document", "cmetadata")
+    return store.rows(COLLECTION).select("document", "cmetadata")
+
+
+@query(
+    "ingest_append_repeats",
+    f"""WITH RECURSIVE {chunks(PAGES)}
+        SELECT content AS document, 2 * count(*) AS n_rows, 2 * count(*) AS n_keys FROM chunks GROUP BY content""",
+)
+def ingest_append_repeats(spark, folder):
+    """Every document twice in one batch: rows of their own, each under its own key."""
+    store = _store(spark)
+    everything = pages(spark, folder)
+    insert_publications(everything.unionAll(everything), store, COLLECTION, MODEL, dedupe=False)
+    counts = F.count(F.lit(1)).alias("n_rows"), F.count_distinct("uuid").alias("n_keys")
+    return store.rows(COLLECTION).groupBy("document").agg(*counts)
+
+
+@query(
+    "ingest_embeddings",
+    f"""WITH RECURSIVE {chunks(PAGES)}, {_SUMMARY}, {_FIRST}, word AS (
+            SELECT content_hash, unnest(string_split(content, ' ')) AS w
+            FROM (SELECT content_hash, content FROM first UNION ALL
+                  SELECT content_hash, content FROM marked WHERE fresh)
+        ), bucket AS (
+            SELECT content_hash, ('0x' || substr(md5(w), 1, 8))::BIGINT % 64 AS dim, count(*) AS n
+            FROM word WHERE w <> '' GROUP BY ALL)
+        SELECT content_hash, dim,
+               round((n / sqrt(sum(n * n) OVER (PARTITION BY content_hash)))::FLOAT::DOUBLE, 6) AS weight
+        FROM bucket""",
+)
+def ingest_embeddings(spark, folder):
+    """The stored vectors of two batches, as their entries that are not zero."""
+    store, _ = _ingest_twice(spark, folder)
+    entries = store.rows(COLLECTION).select("content_hash", F.posexplode("embedding").alias("dim", "value"))
+    weight = F.round(F.col("value").cast("double"), 6).alias("weight")
+    return entries.filter("value > 0").select("content_hash", F.col("dim").cast("long").alias("dim"), weight)
+
+
+@query(
+    "ingest_compacted",
+    f"""WITH RECURSIVE {chunks(PAGES)}, {_SUMMARY}, {_FIRST}
+        SELECT sha256('papers' || chr(1) || content_hash) AS uuid, content AS document, content_hash
+        FROM (SELECT content, content_hash FROM first UNION ALL
+              SELECT content, content_hash FROM marked WHERE fresh)""",
+)
+def ingest_compacted(spark, folder):
+    store, _ = _ingest_twice(spark, folder)
+    store.compact(COLLECTION, 2)
+    return store.rows(COLLECTION).select("uuid", "document", "content_hash")
 
 
 def _benchmark_documents(spark, folder):
@@ -239,12 +285,60 @@ def ingest_stream(spark, folder):
         files = delivery.select(
             F.col("source").alias("title"), F.col("doc_id").alias("page_no"), F.col("text").alias("content")
         )
-        files.repartition(8, "title").write.mode("append").parquet(root)
+        files.write.mode("append").parquet(root)
         stream = page_stream(spark, root, files_per_trigger=4)
         ingest_page_stream(stream, store, COLLECTION, MODEL, checkpoint).awaitTermination()
     return store.rows(COLLECTION).select("content_hash", "document")
 
 
+@query("ingest_two_streams", _ALL_CHUNKS)
+def ingest_two_streams(spark, folder):
+    """Two deliveries in folders of their own, each by a stream with its own checkpoint."""
+    store = _store(spark)
+    for delivery in _two_deliveries(spark, folder):
+        root, checkpoint = scratch_dir(spark, "pages"), scratch_dir(spark, "offsets")
+        delivery.select(
+            F.col("source").alias("title"), F.col("doc_id").alias("page_no"), F.col("text").alias("content")
+        ).write.parquet(root)
+        stream = page_stream(spark, root, files_per_trigger=100)
+        ingest_page_stream(stream, store, COLLECTION, MODEL, checkpoint).awaitTermination()
+    return store.rows(COLLECTION).select("content_hash", "document")
+
+
+@query(
+    "odd_file_names",
+    """SELECT doc_id, 'a[1] {x} *? ' || doc_id || '.txt' AS file_name,
+              CASE WHEN doc_id % 3 = 0 THEN '' ELSE text || chr(10) END AS content
+       FROM documents WHERE text NOT LIKE '%' || chr(13) || '%'""",
+)
+def odd_file_names(spark, folder):
+    """Files with pattern characters in their names, every third one empty, read by exact names."""
+    root = scratch_dir(spark, "files")
+    docs = table(spark, folder, "documents").filter(~F.contains("text", F.lit("\r")))
+    _write_named(docs, spark, root)
+    names = [r.path for r in list_files(spark, root, TXT_GLOB).select("path").collect()]
+    files = read_files(spark, names, TXT_GLOB)
+    name = F.substring_index("path", "/", -1)
+    doc_id = F.regexp_extract(name, r"(\d+)\.txt$", 1).cast("long")
+    return files.select(doc_id.alias("doc_id"), name.alias("file_name"), F.col("content").cast("string").alias("content"))
+
+
+def _write_named(docs, spark, root):
+    """Files of given names, written by the tasks through Spark's text writer and renamed."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    text = F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("text"))
+    docs.select("doc_id", text.alias("text")).filter("text IS NOT NULL").repartition(8, "doc_id").write.partitionBy("doc_id").text(f"{root}/_all")
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(conf)
+    for row in docs.select("doc_id").collect():
+        name = jvm.org.apache.hadoop.fs.Path(root, f"a[1] {{x}} *? {row.doc_id}.txt")
+        if row.doc_id % 3 == 0:
+            fs.create(name).close()
+        else:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{root}/_all/doc_id={row.doc_id}")
+            part = next(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part"))
+            fs.rename(part, name)
+
+
 @query("ingest_file_stream", _ALL_CHUNKS)
 def ingest_file_stream_query(spark, folder):
     store = _store(spark)

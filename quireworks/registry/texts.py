@@ -236,12 +236,17 @@ def null_byte_report(spark, folder):
 
 @query(
     "document_concat",
-    f"""SELECT replace(title, '.pdf', '') AS title, page_no // 10000 AS part_no,
-               string_agg(content, '' ORDER BY page_no) AS content
-        FROM ({FILE_PAGES}) GROUP BY ALL""",
+    f"""SELECT 's3://library/' || d.source || '/' || d.doc_id || '.pdf' AS source, d.lang AS title,
+               string_agg(p.content, '' ORDER BY p.page_no) AS content
+        FROM ({FILE_PAGES}) p JOIN documents d ON p.title = d.doc_id || '.pdf' GROUP BY ALL""",
 )
 def document_concat_query(spark, folder):
-    return document_concat(file_pages(spark, folder))
+    """Files of four base names, one for each language, in folders of their own."""
+    named = table(spark, folder, "documents").select(
+        document_path().alias("source"), F.concat("lang", F.lit(".pdf")).alias("named")
+    )
+    same = file_pages(spark, folder).join(named, "source").withColumn("title", F.col("named"))
+    return document_concat(same.drop("named"))
 
 
 @query(

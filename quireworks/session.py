@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +17,14 @@ RUNTIME_CONF = {
 }
 
 
-def build_session(app: str = "quireworks", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "quireworks", master: str | None = None, scratch: str | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings above. ``scratch`` names the folder for staged rows and
+    checkpoints, which all executors must reach (``spark.checkpoint.dir``)."""
     builder = SparkSession.builder.appName(app)
+    if scratch:
+        conf = {"spark.checkpoint.dir": scratch, **conf}
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **conf}.items():
@@ -30,19 +35,16 @@ def build_session(app: str = "quireworks", master: str | None = None, **conf: st
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name under the shared folder of ``spark.checkpoint.dir``.
 
-    Every executor must be able to reach the folder. A machine-local temporary
-    folder is used only on a local master, where driver and executors share a disk.
+    Every executor must be able to reach the folder, so there is no default.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.gettempdir()
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{root.rstrip('/')}/quireworks/{purpose}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Set a checkpoint folder where the session names none (local runs only)."""
+    """Checkpoint below the scratch folder where the session has no checkpoint folder yet."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
 

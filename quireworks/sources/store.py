@@ -13,6 +13,7 @@ that column only and parses no JSON.
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,22 +54,54 @@ class CollectionStore:
     def collections(self) -> DataFrame:
         return self._read(self._collections, COLLECTIONS_SCHEMA)
 
-    def create_collection(self, name: str) -> str:
+    def create_collection(self, name: str, dimension: int | None = None) -> str:
         """Id of the collection; adds it where it is missing. Writers that create the same
-        one at the same time write the same row to the same place."""
+        one at the same time write the same row to the same place. ``dimension`` is the
+        length of its vectors; a collection without gets it with its first batch."""
         key = self.collection_id(name)
         path = f"{self._collections}/uuid={key}"
-        if not path_exists(self.spark, path):
-            row = self.spark.createDataFrame([(name, None)], "name string, cmetadata string")
+        if not path_exists(self.spark, path) or (dimension is not None and self.dimension(name) is None):
+            metadata = None if dimension is None else json.dumps({"dimension": dimension})
+            row = self.spark.createDataFrame([(name, metadata)], "name string, cmetadata string")
             row.coalesce(1).write.mode("overwrite").parquet(path)
         return key
 
+    def dimension(self, name: str) -> int | None:
+        """Length of a collection's vectors, null while it has none."""
+        path = f"{self._collections}/uuid={self.collection_id(name)}"
+        if not path_exists(self.spark, path):
+            return None
+        row = self.spark.read.schema("cmetadata string").parquet(path).first()
+        return json.loads(row.cmetadata or "{}").get("dimension") if row else None
+
+    def compact(self, name: str, files: int) -> None:
+        """Write a collection's rows anew in ``files`` files. Not while others write to it;
+        should it break off, running it again finishes it."""
+        key = self.collection_id(name)
+        source, copy = f"{self._embeddings}/collection_id={key}", f"{self.root}/compacted/{key}"
+        done = f"{copy}/_SUCCESS"
+        if not path_exists(self.spark, done):
+            if not path_exists(self.spark, source):
+                return
+            rows = self.rows(name).select(*ROW_COLUMNS)
+            rows.repartition(files).sortWithinPartitions("uuid").write.mode("overwrite").parquet(copy)
+        # Only a whole copy takes the place of the rows.
+        delete_path(self.spark, source)
+        self.spark.read.schema(", ".join(ROWS_SCHEMA.split(", ")[:-2])).parquet(copy).write.mode(
+            "overwrite"
+        ).parquet(f"{source}/batch_id=compacted")
+        delete_path(self.spark, copy)
+
     def rows(self, name: str | None = None) -> DataFrame:
         """Stored rows, of one collection if a name is given (a partition filter)."""
-        rows = self._read(self._embeddings, ROWS_SCHEMA)
         if name is None:
-            return rows
-        return rows.filter(F.col("collection_id") == self.collection_id(name))
+            return self._read(self._embeddings, ROWS_SCHEMA)
+        # The folder of the collection, so that no other one is listed.
+        path = f"{self._embeddings}/collection_id={self.collection_id(name)}"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], ROWS_SCHEMA)
+        reader = self.spark.read.schema(ROWS_SCHEMA).option("basePath", self._embeddings)
+        return reader.parquet(path)
 
     def hashes(self, name: str, without_batch: str | None = None) -> DataFrame:
         """Content hashes of a collection; ``without_batch`` leaves out a batch that is
@@ -85,10 +118,26 @@ class CollectionStore:
         return f"{self._embeddings}/collection_id={self.collection_id(name)}/batch_id={batch_id}"
 
     def append(self, rows: DataFrame, name: str, batch_id: str) -> None:
-        """Add one batch. The same batch id written again replaces its own rows only."""
-        self.create_collection(name)
+        """Add one batch. The same batch id written again replaces its own rows only.
+
+        A batch without rows leaves nothing, not even a new collection. All vectors of a
+        collection have one length, kept in its metadata; a batch of another is taken back.
+        """
         path = self._batch_path(name, batch_id)
         rows.select(*ROW_COLUMNS).write.mode("overwrite").parquet(path)
+        written = self.spark.read.schema(ROWS_SCHEMA).parquet(path)
+        lengths = [
+            r["n"]
+            for r in written.select(F.size("embedding").alias("n")).filter("n >= 0").distinct().limit(2).collect()
+        ]
+        known = self.dimension(name)
+        if len({*lengths, *([] if known is None else [known])}) > 1:
+            delete_path(self.spark, path)
+            raise ValueError(f"vectors of lengths {sorted(lengths)}, the collection has {known}")
+        if written.isEmpty():
+            delete_path(self.spark, path)
+            return
+        self.create_collection(name, lengths[0] if lengths else None)
 
     def batch_count(self, name: str, batch_id: str) -> int:
         path = self._batch_path(name, batch_id)

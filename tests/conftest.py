@@ -8,12 +8,13 @@ sys.path.insert(0, str(ROOT))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from quireworks.session import build_session
 
     session = build_session(
         "tests",
         "local[8]",
+        str(tmp_path_factory.mktemp("scratch")),
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",

@@ -26,6 +26,7 @@ from quireworks.sources.files import (
     list_files,
     page_list,
     page_rows,
+    read_files,
     text_files,
     utf8_pages,
 )
@@ -184,13 +185,110 @@ def test_pages(spark):
                       ("A.PDF", 0, None)])
     assert sorted(r.content for r in page_rows(df).collect()) == ["one", "two"]
     assert sorted(r.content for r in page_list(df).collect()) == [" two ", "one"]
-    got = {(r.title, r.part_no): r.content for r in document_concat(df).collect()}
-    assert got == {("a", 0): "one two ", ("b", 0): "\u00a0", ("A.PDF", 0): ""}
-    parts = {(r.title, r.part_no): r.content for r in document_concat(df, 1).collect()}
-    assert parts[("a", 0)] == "one" and parts[("a", 1)] == " two "
     assert load_totals(df).first() == (4, 2)
 
 
+def test_document_concat_is_by_file_and_whole(spark):
+    rows = [("x/r.pdf", "r.pdf", 1, "two"), ("x/r.pdf", "r.pdf", 0, "one"), ("y/r.pdf", "r.pdf", 0, "three"),
+            ("a.pdf.pdf", "a.pdf.pdf", None, None)]
+    rows += [("long.PDF", "long.PDF", i, f"{i},") for i in range(10_001)]
+    df = spark.createDataFrame(rows, "source string, title string, page_no long, content string")
+    failed = spark.createDataFrame([("f.pdf", "f.pdf", 0, None, "broken")], df.schema.add("error", "string"))
+    df = df.drop("error").withColumn("error", F.lit(None).cast("string")).unionByName(failed)
+    got = {(r.source, r.title): r.content for r in document_concat(df).collect()}
+    assert got.pop(("long.PDF", "long.PDF")) == "".join(f"{i}," for i in range(10_001))
+    assert got == {("x/r.pdf", "r"): "onetwo", ("y/r.pdf", "r"): "three", ("a.pdf.pdf", "a"): ""}
+
+
+def test_files_of_odd_names_and_no_bytes_are_there(spark, store, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    names = ["a[1].txt", "{b}*.txt", "c?.txt", "d \\.txt", "e.txt"]
+    for name in names:
+        (folder / name).write_text("" if name == "e.txt" else name)
+    listed = list_files(spark, str(folder), "*.txt").collect()
+    assert {r.file_name: r.length for r in listed} == {n: 0 if n == "e.txt" else len(n) for n in names}
+    for row in listed:
+        found = read_files(spark, [row.path], "*.txt").collect()
+        assert [bytes(r.content).decode() for r in found] == ["" if row.file_name == "e.txt" else row.file_name]
+    texts = text_files(spark, str(folder)).collect()
+    assert {r.content for r in texts} == {"", *names[:-1]} and len(texts) == 5
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    for expected in (5, 0):
+        ingest_files_in_batches(
+            spark, str(folder), utf8_pages(), ledger, store, "c", MODEL, 2, glob="*.txt"
+        )
+        assert ledger.read().count() == 5 and store.count("c") == 4
+
+
+def test_failed_files_are_counted(spark, store, tmp_path):
+    write(tmp_path / "in", a_pdf="one", bad_pdf="broken")
+    result = ingest_directory(
+        spark, str(tmp_path / "in"), strict_pages(), store, "c", MODEL, failures=str(tmp_path / "failed")
+    )
+    assert (result.new_chunks, result.failed_files) == (1, 1)
+    failed = spark.read.parquet(str(tmp_path / "failed")).collect()
+    assert len(failed) == 1 and failed[0].source.endswith("bad.pdf")
+
+
+def test_equal_pages_without_dedupe_have_their_own_keys(spark, store):
+    same = pubs(spark, [("A", 0, "same"), ("A", 0, "same"), ("A", 0, "same")])
+    insert_publications(same, store, "c", MODEL, dedupe=False)
+    assert store.rows("c").select("uuid").distinct().count() == 3
+    assert search_collection(store, "c", "same", MODEL, k=2).count() == 2
+
+
+def test_title_ingest_after_a_crash_replaces_its_rows(spark, store, tmp_path):
+    class Crash(Ledger):
+        def commit(self, done):
+            raise RuntimeError("crash")
+
+    pages_ = pubs(spark, [("A", 0, "one"), ("B", 0, "two")])
+    with pytest.raises(RuntimeError, match="crash"):
+        ingest_new_titles(pages_, Crash(spark, str(tmp_path / "t"), "title"), store, "c", MODEL)
+    ledger = Ledger(spark, str(tmp_path / "t"), "title")
+    ingest_new_titles(pages_, ledger, store, "c", MODEL)
+    assert documents(store) == ["one", "two"] and ledger.read().count() == 2
+
+
+def test_no_new_chunk_writes_nothing(spark, store):
+    insert_publications(pubs(spark, [("A", 0, " ")]), store, "c", MODEL)
+    assert store.collections().isEmpty() and store.rows().isEmpty()
+    insert_publications(pubs(spark, [("A", 0, "x")]), store, "c", MODEL, "1")
+    insert_publications(pubs(spark, [("B", 0, "x")]), store, "c", MODEL, "2")
+    assert [r.batch_id for r in store.rows("c").select("batch_id").distinct().collect()] == ["1"]
+
+
+def test_vectors_of_another_length_are_refused(spark, store):
+    insert_publications(pubs(spark, [("A", 0, "x")]), store, "c", MODEL)
+    with pytest.raises(ValueError, match="lengths"):
+        insert_publications(pubs(spark, [("B", 0, "y")]), store, "c", hashed_words(8))
+    assert documents(store) == ["x"] and store.dimension("c") == 16
+    assert search_collection(store, "c", "x", MODEL, k=2).count() == 1
+
+
+def test_compaction_keeps_all_rows_and_one_collection_is_listed(spark, store):
+    for i in range(3):
+        insert_publications(pubs(spark, [("A", i, f"text {i}")]), store, "c", MODEL)
+    insert_publications(pubs(spark, [("A", 0, "elsewhere")]), store, "other", MODEL)
+    assert len(store.rows("c").inputFiles()) >= 3
+    assert all(store.collection_id("c") in name for name in store.rows("c").inputFiles())
+    before = sorted(map(str, store.rows("c").drop("batch_id").collect()))
+    store.compact("c", 1)
+    assert sorted(map(str, store.rows("c").drop("batch_id").collect())) == before
+    assert len(store.rows("c").inputFiles()) == 1 and documents(store, "other") == ["elsewhere"]
+
+
+def test_scratch_is_empty_after_an_ingest(spark, store, tmp_path, monkeypatch):
+    from quireworks.plans import ingest
+
+    monkeypatch.setattr(ingest, "scratch_dir", lambda spark, purpose: str(tmp_path / "scratch" / purpose))
+    insert_publications(pubs(spark, [("A", 0, "x")]), store, "c", MODEL)
+    with pytest.raises(ValueError):
+        insert_publications(pubs(spark, [("B", 0, "y")]), store, "c", hashed_words(8))
+    assert list((tmp_path / "scratch").iterdir()) == []
+
+
 def test_directory(spark, store, tmp_path):
     write(tmp_path / "in", a_pdf="one\ftwo\f \f", sub__a_pdf="three", bad_pdf="broken")
     result = ingest_directory(spark, str(tmp_path / "in"), strict_pages(), store, "c", MODEL)

@@ -80,3 +80,12 @@ def test_stream_equals_batch(spark, small, tmp_path):
         ).awaitTermination()
     a, b = (s.rows("c").select("uuid", "document") for s in (streamed, whole))
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_two_streams_keep_each_others_rows(spark, store, tmp_path):
+    for name in ("one", "two"):
+        rows = spark.createDataFrame([(name, 0, f"text {name}")], "title string, page_no long, content string")
+        rows.write.parquet(str(tmp_path / name))
+        stream = page_stream(spark, str(tmp_path / name))
+        ingest_page_stream(stream, store, "c", MODEL, str(tmp_path / f"offsets-{name}")).awaitTermination()
+    assert documents(store) == ["text one", "text two"]
