@@ -9,8 +9,10 @@ confirmed on whole sets.
 
 Lists are merged by skipping: equal sets are one node; every node is first compared with
 one central member of its lists only; lists whose members are connected by then are
-skipped, and in the others only members of different components are compared. So a group
-of copies costs its size, not its square, and no link between components is lost.
+skipped, and in the others only members of different components are compared, block by
+block, until they are united. So a group of copies costs its size, not its square, and no
+link between components is lost; what still costs its square is a group of texts that are
+nearly but not quite similar enough, since each pair of them must be refuted.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ PREFIX = COORDINATES - MATCHES + 1
 _PER_LONG = 7  # bytes of signature in a long, so that sums don't overflow
 _LONGS = COORDINATES // _PER_LONG
 _SLICE = 2 << 20
+_FAMILY_BLOCK = 256  # documents of a block in the last comparison
 _BUCKETS = 1 << 16  # counters of the sketch that orders pairs of coordinate and minimum
 _rng = np.random.default_rng(7)
 _A = _rng.integers(1, 1 << 63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -197,6 +200,81 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return joined.mapInArrow(run, "u long, v long")
 
 
+def _first_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links between the rows of two blocks (or within one) that unite components.
+
+    A row is compared with those of other components that agree with it in enough
+    coordinates; a confirmed link unites two components, whose other pairs are skipped.
+    """
+    doc, component, n = (table[c].to_numpy() for c in ("doc", "component", "n"))
+    block, x, y = (table[c].to_numpy() for c in ("block", "x", "y"))
+    packed = np.stack([table[f"q{k}"].to_numpy() for k in range(_LONGS)], 1)
+    sets = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
+    sizes = np.array(list(map(len, sets)))
+    begins = np.cumsum(sizes) - sizes
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    name = np.unique(component, return_inverse=True)[1]
+    left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+    mark = np.zeros(len(codes), bool)
+    low, high = np.int64(0x007F7F7F7F7F7F7F), np.int64(0x0080808080808080)
+    found = []
+    for u in left:
+        others = right[right > u] if x[0] == y[0] else right
+        fits = (100 * n[others] >= percent * n[u]) & (100 * n[u] >= percent * n[others])
+        others = others[fits & (name[others] != name[u])]
+        differ = packed[others] ^ packed[u]
+        marked = ((differ & low) + low | differ) & high
+        others = others[COORDINATES - np.bitwise_count(marked).sum(1, dtype=np.int64) >= MATCHES]
+        if not len(others):
+            continue
+        own = codes[begins[u] : begins[u] + sizes[u]]
+        mark[own] = True
+        at = np.repeat(begins[others] - (np.cumsum(sizes[others]) - sizes[others]), sizes[others])
+        at += np.arange(len(at))
+        shared = np.add.reduceat(mark[codes[at]], np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+        mark[own] = False
+        for v in others[100 * shared >= percent * (sizes[u] + sizes[others] - shared)]:
+            if name[u] != name[v]:
+                found.append((int(doc[u]), int(doc[v])))
+                name[name == name[v]] = name[u]
+    return found
+
+
+def _link_families(posts: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (u, v) that unite components of the posted documents.
+
+    Documents that share lists, directly or by others, are a family. A family is cut into
+    blocks, and each pair of blocks meets in one task with its whole sets: a document
+    travels once for each block, not for each pair, and only uniting links come out.
+    """
+    qs = [f"q{k}" for k in range(_LONGS)]
+    hubs = posts.groupBy("key").agg(F.min("doc").alias("v"))
+    families = components(posts.join(hubs, "key").select(F.col("doc").alias("u"), "v"))
+    families = families.select(F.col("node").alias("doc"), F.col("component").alias("family")).checkpoint()
+    blocks = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / _FAMILY_BLOCK).alias("blocks"))
+
+    def hash_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for part in cut(batch, 1, _SLICE):
+            out += [x.tobytes() for x in shingle_sets(part.column(1).to_pylist(), size)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc", "hashes"])
+
+    members = families.join(blocks, "family").join(posts.select("doc", "component", "n", *qs).distinct(), "doc")
+    hashed = map_batches(texts.select("doc", "text"), hash_sets, "doc long, hashes binary")
+    members = members.join(hashed, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    paired = members.withColumn("other", other).select(
+        "family", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        "doc", "component", "n", *qs, "hashes",
+    )
+
+    def link(table: pa.Table) -> pa.Table:
+        found = _first_links(table, percent)
+        return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+
+    return paired.groupBy("family", "x", "y").applyInArrow(link, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text).
 
@@ -248,14 +326,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     open_ = placed.drop("members").join(mixed.select("key"), "key").checkpoint()
-    rest = (
-        open_.alias("a")
-        .join(open_.alias("b"), F.col("a.key") == F.col("b.key"))
-        .filter((F.col("a.component") < F.col("b.component")) & _may_link("a", "b", percent))
-        .select(F.col("a.doc").alias("u"), F.col("b.doc").alias("v"))
-        .distinct()
-    )
-    more = _confirm(rest, texts, size, percent)
+    more = _link_families(open_, texts, size, percent)
     united = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
 
     of_class = classes.drop("minima").join(united.withColumnRenamed("node", "doc"), "doc", "left")
