@@ -21,14 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from quireworks.llm.common import as_bytes, spread_table
-from quireworks.llm.words import WordCache
+from quireworks.llm.words import WordCache, kept_by_worker
 
 CAPACITY = 2048
 END = 1
 TOKENIZER = "word_bpe_49k.json"
 _POOL_HIGH, _POOL_LOW = 400_000, 100_000  # tokens that wait in a task
 _FLUSH = 8 << 20
-_encoders: dict[str, WordEncoder] = {}
 
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, ids_crc32 long, "
@@ -84,9 +83,10 @@ class WordEncoder:
 
 
 def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    kept = kept_by_worker("encoders")
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 class Document:

@@ -17,14 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from quireworks.llm.common import map_batches, spread_table
-from quireworks.llm.words import WordCache
+from quireworks.llm.words import WordCache, kept_by_worker
 
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed by the tokenizers
 _SLICE = 1 << 20
 _BYTE = re.compile(r"<0x[0-9A-F]{2}>\Z")
-_counters: dict[str, PieceCounter] = {}
 
 
 def read_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -117,9 +116,10 @@ class PieceCounter:
 
 
 def counter(path: str) -> PieceCounter:
-    if path not in _counters:
-        _counters[path] = PieceCounter(read_vocabulary(path))
-    return _counters[path]
+    kept = kept_by_worker("counters")
+    if path not in kept:
+        kept[path] = PieceCounter(read_vocabulary(path))
+    return kept[path]
 
 
 def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:

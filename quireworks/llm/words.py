@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable
+from types import ModuleType
 
 import numpy as np
 
@@ -11,7 +13,16 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _SEGMENT = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def kept_by_worker(name: str) -> dict:
+    """A dictionary that a Python worker keeps between its tasks.
+
+    The package's functions travel by value, and what they hold in globals of their own
+    goes with the task.
+    """
+    place = sys.modules.setdefault("_quireworks_kept", ModuleType("_quireworks_kept"))
+    return place.__dict__.setdefault(name, {})
 
 
 class WordCache:
@@ -55,14 +66,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2**64."""
     size = max(_SEGMENT, 1 << (n - 1).bit_length())
-    if size not in _tables:
+    tables = kept_by_worker("powers")
+    if size not in tables:
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         up, down = np.full(size, _BASE), np.full(size, inverse)
         up[0] = down[0] = 1
-        if len(_tables) > 1:
-            _tables.pop(max(_tables))  # that of an unusually long word
-        _tables[size] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-    return _tables[size]
+        if len(tables) > 1:
+            tables.pop(max(tables))  # that of an unusually long word
+        tables[size] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    return tables[size]
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
