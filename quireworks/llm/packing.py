@@ -53,8 +53,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bodies = WordCache(self._encode, 450_000)
-        self.words = WordCache(self._split)
+        self.bodies = WordCache(self._encode, 250_000)
+        self.words = WordCache(self._split, 150_000)
 
     def _encode(self, words: list[bytes]) -> Iterator[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
