@@ -19,14 +19,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from quireworks.functions.keys import hit_title
 from quireworks.functions.vectors import DISTANCE_DIGITS
-from quireworks.session import materialize
+from quireworks.session import delete_path, materialize
 
 # Fixed value: hits per query unless the caller says otherwise.
 TOP_K = 5
-# Up to this many queries are broadcast; beyond it both sides are cut into blocks.
-MAX_BROADCAST_QUERIES = 16_384
-VECTOR_BLOCK = 65_536
-QUERY_BLOCK = 4_096
+# Query vectors are broadcast in waves of about so many bytes; each wave scans the vectors.
+MAX_QUERY_BYTES = 64 << 20
 # A larger table is read by this many tasks, several splits each: every task sends k rows
 # per query, so more tasks would mean a larger shuffle.
 MAX_TASKS = 20_000
@@ -131,42 +129,6 @@ def _scan(query_ids: pa.Array, queries: np.ndarray, k: int, names: Sequence[str]
     return nearest_in_partition
 
 
-def _search_blocks(
-    vectors: DataFrame, n_vectors: int, queries: DataFrame, k: int, schema, names
-) -> DataFrame:
-    """Search with more queries than one broadcast should hold.
-
-    Both sides are hashed into blocks of bounded size, each block is copied to every
-    block of the other side, and the pairs of blocks meet by an equi-join on both block
-    numbers: no side passes through the driver and no task holds more than one pair.
-    """
-    id_col, query_col = vectors.columns[0], queries.columns[0]
-    queries, _ = materialize(queries, "queries")
-    n_vb = max(1, -(-n_vectors // VECTOR_BLOCK))
-    n_qb = max(1, -(-queries.count() // QUERY_BLOCK))
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    def block(col: str, n: int):
-        return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-
-    left = vectors.withColumn("_vb", block(id_col, n_vb)).withColumn("_qb", every(n_qb))
-    right = queries.withColumn("_qb", block(query_col, n_qb)).withColumn("_vb", every(n_vb))
-
-    arrow_schema = to_arrow_schema(schema)
-
-    def nearest_in_cell(vec: pa.Table, qry: pa.Table) -> pa.Table:
-        if vec.num_rows == 0 or qry.num_rows == 0:
-            return arrow_schema.empty_table()
-        units, bound = _unit_rows(qry.column(1)), np.full(qry.num_rows, np.inf)
-        found = _shortlist(vec.drop_columns(["_vb", "_qb"]), units, k, bound)
-        return _emit(_best(found, k, bound), qry.column(0).combine_chunks(), names)
-
-    cells = left.groupBy("_vb", "_qb").cogroup(right.groupBy("_vb", "_qb"))
-    return cells.applyInArrow(nearest_in_cell, schema)
-
-
 def _hit_schema(vectors: DataFrame, query_id_type: T.DataType) -> T.StructType:
     """query_id, the columns of ``vectors`` but the vector (its second), distance."""
     fields = vectors.schema.fields
@@ -185,7 +147,7 @@ def topk_batch(
     keep: Sequence[str] = (),
     query_id_col: str = "query_id",
     query_vector_col: str = "embedding",
-    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
+    max_query_bytes: int = MAX_QUERY_BYTES,
 ) -> DataFrame:
     """The k nearest vectors of every query: query_id, rank, id, ``keep``, distance.
 
@@ -195,20 +157,27 @@ def topk_batch(
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    everything = vectors
     vectors = vectors.select(id_col, vector_col, *keep).filter(F.col(vector_col).isNotNull())
     queries = queries.select(F.col(query_id_col).alias("query_id"), query_vector_col)
     queries = queries.filter(F.col(query_vector_col).isNotNull())
     schema = _hit_schema(vectors, queries.schema["query_id"].dataType)
     names = schema.names
-    head = queries.limit(max_broadcast_queries + 1).toArrow()
-    if head.num_rows > max_broadcast_queries:
-        found = _search_blocks(vectors, everything.count(), queries, k, schema, names)
-    else:
-        units = _unit_rows(head.column(1))
-        shared = vectors.sparkSession.sparkContext.broadcast(units)
-        scan = _scan(head.column(0).combine_chunks(), shared, k, names)
-        found = vectors.coalesce(MAX_TASKS).mapInArrow(scan, schema)
+    # Written once, so that a model that makes the vectors runs once for each query.
+    staged, path = materialize(queries, "queries")
+    spark = vectors.sparkSession
+    found = None
+    try:
+        size = staged.agg(F.sum(8 * F.size(query_vector_col))).first()[0] or 0
+        waves = max(1, -(-size // max_query_bytes))
+        wave_of = F.pmod(F.xxhash64("query_id"), F.lit(waves))
+        for wave in range(waves):
+            held = (staged.filter(wave_of == wave) if waves > 1 else staged).toArrow()
+            shared = spark.sparkContext.broadcast(_unit_rows(held.column(1)))
+            scan = _scan(held.column(0).combine_chunks(), shared, k, names)
+            hits = vectors.coalesce(MAX_TASKS).mapInArrow(scan, schema)
+            found = hits if found is None else found.unionAll(hits)
+    finally:
+        delete_path(spark, path)
     nearest = Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), id_col)
     ranked = found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", id_col, *keep, "distance")

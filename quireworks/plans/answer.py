@@ -8,26 +8,27 @@ from pyspark.sql import functions as F
 from quireworks.operators.embedding import Model, embed_documents
 from quireworks.operators.prompts import ANSWER_K, assemble_prompts
 from quireworks.operators.search import TOP_K, search_hits, topk, topk_batch
-from quireworks.session import materialize
+from quireworks.session import ensure_checkpoint_dir
 from quireworks.sources.store import CollectionStore
 
 # The partition columns travel with a hit: its text is then looked up in its own batch.
 _LOCATION = ("collection_id", "batch_id")
-# Up to this many hits the batches they lie in are named to the scan that fetches the texts.
-MAX_PRUNING_HITS = 1_000
+# Up to so many batches are named to the scan that fetches the texts of hits.
+MAX_NAMED_BATCHES = 10_000
 
 
 def _with_texts(rows: DataFrame, hits: DataFrame, n_hits: int) -> DataFrame:
     """Fetch the texts of hits.
 
-    Few hits are written out and the second scan gets their batch ids as a partition
-    filter, so it opens only those batches. (Left to dynamic pruning, the filter is dropped
-    when the planner does not find the same broadcast again.)
+    The hits are checkpointed and the second scan gets their batch ids as a partition
+    filter, so it opens only those batches, however many hits there are. (Left to dynamic
+    pruning, the filter is dropped when the planner does not find the same broadcast again.)
     """
-    if n_hits <= MAX_PRUNING_HITS:
-        hits, _ = materialize(hits, "hits")
-        batches = [r.batch_id for r in hits.select("batch_id").distinct().collect()]
-        rows = rows.filter(F.col("batch_id").isin(batches))
+    ensure_checkpoint_dir(hits.sparkSession)
+    hits = hits.checkpoint()
+    named = hits.select("batch_id").distinct().limit(MAX_NAMED_BATCHES + 1).collect()
+    if len(named) <= MAX_NAMED_BATCHES:
+        rows = rows.filter(F.col("batch_id").isin([r.batch_id for r in named]))
     return search_hits(hits, rows, [*_LOCATION, "uuid"], n_hits)
 
 
@@ -53,6 +54,7 @@ def search_batch(
 def answer_prompts(
     store: CollectionStore, collection: str, questions: DataFrame, model: Model, k: int = ANSWER_K
 ) -> DataFrame:
-    """One prompt per question, ready for a language model: query_id, question, prompt."""
+    """One prompt per question, ready for a language model, and what it cites: query_id,
+    question, prompt, hits (an array of rank, title, content, distance)."""
     hits = search_batch(store, collection, questions, model, k)
     return assemble_prompts(hits, questions, k)

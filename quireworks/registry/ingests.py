@@ -379,10 +379,11 @@ _ITEMS = "SELECT 'item-' || item_id AS title, 0 AS page_no, text AS content FROM
                   FROM asked a JOIN vector vq ON vq.id = 'q' || a.query_id
                   CROSS JOIN stored s JOIN vector vs ON vs.id = 's' || s.content_hash)
         ), context AS (
-            SELECT query_id, string_agg('From ' || title || ':' || chr(10) || content, chr(10) || chr(10) ORDER BY rank) AS context
+            SELECT query_id, string_agg('From ' || title || ':' || chr(10) || content, chr(10) || chr(10) ORDER BY rank) AS context,
+                   count(*) AS n_hits, string_agg(title, '|' ORDER BY rank) AS cited
             FROM ranked WHERE rank <= 3 GROUP BY query_id
         )
-        SELECT query_id, question, {prompt_sql("coalesce(context, '')", "question")} AS prompt
+        SELECT query_id, question, {prompt_sql("coalesce(context, '')", "question")} AS prompt, n_hits, cited
         FROM asked LEFT JOIN context USING (query_id)""",
 )
 def answer_prompts_query(spark, folder):
@@ -396,4 +397,7 @@ def answer_prompts_query(spark, folder):
     questions = user.select(
         F.concat_ws("-", "conv_id", "turn").alias("query_id"), F.col("text").alias("question")
     )
-    return answer_prompts(store, COLLECTION, questions, MODEL)
+    cited = F.array_join(F.transform("hits", lambda hit: hit["title"]), "|").alias("cited")
+    return answer_prompts(store, COLLECTION, questions, MODEL).select(
+        "query_id", "question", "prompt", F.size("hits").cast("long").alias("n_hits"), cited
+    )

@@ -163,7 +163,7 @@ def rag_prompt(spark, folder):
     questions = user.groupBy(F.col("conv_id").alias("query_id")).agg(
         F.min_by("text", "turn").alias("question")
     )
-    return assemble_prompts(_hits(spark, folder, 3), questions)
+    return assemble_prompts(_hits(spark, folder, 3), questions).drop("hits")
 
 
 def _named(spark, folder):

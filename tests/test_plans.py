@@ -31,7 +31,8 @@ def test_store_lookup_reads_one_partition_and_one_column(spark, small, store):
         insert_publications(pages(spark, small), store, name, MODEL)
     text = plan(store.hashes("c"))
     assert "ReadSchema: struct<content_hash:string>" in text
-    assert "PartitionFilters: [isnotnull(collection_id" in text
+    listed = store.hashes("c").inputFiles()
+    assert listed and all(f"collection_id={store.collection_id('c')}" in name for name in listed)
     assert "PushedFilters: [IsNotNull(content_hash)]" in text
 
 

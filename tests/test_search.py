@@ -50,11 +50,12 @@ def test_equals_brute_force(spark, k):
     assert got == brute_force(ROWS, QUERIES, k)
 
 
-def test_blocks_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(search, "VECTOR_BLOCK", 17)
-    monkeypatch.setattr(search, "QUERY_BLOCK", 2)
-    got = topk_batch(vectors(spark, ROWS), ask(spark, QUERIES), 7, max_broadcast_queries=1)
+def test_waves_give_the_same_without_a_shuffle_of_vectors(spark):
+    got = topk_batch(vectors(spark, ROWS), ask(spark, QUERIES), 7, max_query_bytes=64)
     assert result(got) == brute_force(ROWS, QUERIES, 7)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert text.count("MapInArrow") > 1
+    assert all("embedding" not in line for line in text.splitlines() if "Exchange" in line)
 
 
 def test_small_score_steps_and_batches(spark, monkeypatch):
