@@ -89,7 +89,7 @@ def topk_batch_query(spark, folder):
 )
 def topk_in_collection(spark, folder):
     named = _collections(spark, folder).filter(F.col("name") == "EUROPE")
-    rows = collection_rows(_stored(spark, folder), named, row_key="vec_id")
+    rows = collection_rows(_stored(spark, folder), named)
     return _rounded(topk_batch(rows, _queries(spark, folder), 5, keep=["collection_id"]))
 
 
@@ -130,7 +130,7 @@ _CONTEXT = f"""
 
 @query("rag_context", _CONTEXT)
 def rag_context(spark, folder):
-    return assemble_context(_hits(spark, folder, 3))
+    return assemble_context(_hits(spark, folder, 3)).select("query_id", "context")
 
 
 def prompt_sql(context: str, question: str) -> str:
@@ -168,7 +168,7 @@ def rag_prompt(spark, folder):
 
 def _named(spark, folder):
     named = _collections(spark, folder).filter(F.col("name") == "EUROPE")
-    rows = collection_rows(_stored(spark, folder), named, row_key="vec_id")
+    rows = collection_rows(_stored(spark, folder), named)
     return rows.select("collection_id", "name", "vec_id")
 
 
@@ -178,7 +178,7 @@ def _named(spark, folder):
        JOIN region ON r_regionkey = label""",
 )
 def collection_rows_query(spark, folder):
-    rows = collection_rows(_stored(spark, folder), _collections(spark, folder), row_key="vec_id")
+    rows = collection_rows(_stored(spark, folder), _collections(spark, folder))
     return rows.select("vec_id", "collection_id", "name")
 
 
@@ -218,7 +218,7 @@ def collection_size(spark, folder):
        WHERE label NOT IN (SELECT r_regionkey FROM region)""",
 )
 def orphan_rows_query(spark, folder):
-    orphans = orphan_rows(_stored(spark, folder), _collections(spark, folder), row_key="vec_id")
+    orphans = orphan_rows(_stored(spark, folder), _collections(spark, folder))
     return orphans.select("vec_id", "collection_id")
 
 
@@ -229,7 +229,7 @@ def orphan_rows_query(spark, folder):
 )
 def cascade_delete_query(spark, folder):
     doomed = _collections(spark, folder).filter(F.col("name") == "ASIA")
-    left = cascade_delete(_stored(spark, folder), doomed, row_key="vec_id")
+    left = cascade_delete(_stored(spark, folder), doomed)
     return left.select("vec_id", "collection_id")
 
 
