@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quireworks.llm.common import as_bytes, cut, map_batches, spread_table
+from quireworks.llm.common import as_bytes, cut, map_batches, release, spread_table
 from quireworks.llm.components import components
 from quireworks.llm.words import Texts, mix, windows
 from quireworks.session import materialize
@@ -260,7 +260,8 @@ def _link_families(posts: DataFrame, texts: DataFrame, size: int, percent: int)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc", "hashes"])
 
     members = families.join(blocks, "family").join(posts.select("doc", "component", "n", *qs).distinct(), "doc")
-    hashed = map_batches(texts.select("doc", "text"), hash_sets, "doc long, hashes binary")
+    wanted = texts.join(families.select("doc"), "doc", "left_semi").select("doc", "text")
+    hashed = map_batches(wanted, hash_sets, "doc long, hashes binary")
     members = members.join(hashed, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     paired = members.withColumn("other", other).select(
@@ -304,6 +305,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         "members",
     )
 
+    release(docs.sparkSession)
+
     # Each node against one member of its lists: the one that shares most lists with most nodes.
     rank = F.struct("weight", (-F.col("doc")).alias("less"), *(F.col(f"q{k}") for k in range(_LONGS)), "n")
     weights = posts.groupBy("doc").agg(F.sum("members").alias("weight"))
@@ -319,6 +322,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
     links = _confirm(best, texts, size, percent).checkpoint()
     found = components(links).checkpoint()
+    release(docs.sparkSession)
 
     # What is left: lists whose members are not all connected, across components.
     placed = posts.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
