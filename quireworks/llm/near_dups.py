@@ -9,10 +9,12 @@ confirmed on whole sets.
 
 Lists are merged by skipping: equal sets are one node; every node is first compared with
 one central member of its lists only; lists whose members are connected by then are
-skipped, and in the others only members of different components are compared, block by
-block, until they are united. So a group of copies costs its size, not its square, and no
-link between components is lost; what still costs its square is a group of texts that are
-nearly but not quite similar enough, since each pair of them must be refuted.
+skipped, and in the others only members of different components are compared. First by
+signatures, list by list: which components agree in MATCHES coordinates makes them a
+family. Then by whole sets, family by family, block by block, until they are united. So a
+group of copies costs its size, not its square, and no link between components is lost;
+what still costs its square is a group of texts that are nearly but not quite similar
+enough, since each pair of them must be refuted.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ PREFIX = COORDINATES - MATCHES + 1
 _PER_LONG = 7  # bytes of signature in a long, so that sums don't overflow
 _LONGS = COORDINATES // _PER_LONG
 _SLICE = 2 << 20
+_LIST_BLOCK = 2048  # members of a list that are compared by signatures in one go
 _FAMILY_BLOCK = 256  # documents of a block in the last comparison
 _BUCKETS = 1 << 16  # counters of the sketch that orders pairs of coordinate and minimum
 _rng = np.random.default_rng(7)
@@ -200,6 +203,75 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return joined.mapInArrow(run, "u long, v long")
 
 
+def _agreeing(packed: np.ndarray, n: np.ndarray, u: int, others: np.ndarray, percent: int) -> np.ndarray:
+    """Those of the others that ``_may_link`` to row u."""
+    others = others[(100 * n[others] >= percent * n[u]) & (100 * n[u] >= percent * n[others])]
+    low, high = np.int64(0x007F7F7F7F7F7F7F), np.int64(0x0080808080808080)
+    differ = packed[others] ^ packed[u]
+    marked = ((differ & low) + low | differ) & high
+    return others[COORDINATES - np.bitwise_count(marked).sum(1, dtype=np.int64) >= MATCHES]
+
+
+def _list_candidates(part: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of components with agreeing rows in two blocks of a list (or one), no more than unite them.
+
+    ``part`` has columns block, x, y, component, n, q0...; components that such pairs
+    connect already are not compared again.
+    """
+    block, x, y, component, n = part[:, :5].T
+    packed = part[:, 5:]
+    left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+    name = component.copy()
+    found = []
+    for u in left:
+        others = right[right > u] if x[0] == y[0] else right
+        others = others[name[others] != name[u]]
+        if len(others):
+            agreeing = _agreeing(packed, n, u, others, percent)
+            for other, at in zip(*np.unique(name[agreeing], return_index=True)):
+                found.append((int(component[u]), int(component[agreeing[at]])))
+                name[name == other] = name[u]
+    return found
+
+
+def _candidates(posts: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between components that have agreeing members in a list.
+
+    A list is cut into blocks of about _LIST_BLOCK members, and each pair of blocks meets in
+    one task with signatures only. Components that agree are connected by the links, though
+    not each with each.
+    """
+    columns = ["block", "x", "y", "component", "n", *(f"q{k}" for k in range(_LONGS))]
+    cut_up = posts.withColumn("blocks", F.ceil(F.col("members") / _LIST_BLOCK))
+    cut_up = cut_up.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    paired = cut_up.withColumn("other", other).withColumns(
+        {"x": F.least("block", "other"), "y": F.greatest("block", "other")}
+    )
+    paired = paired.select("key", *columns).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, len(columns) + 1), np.int64)
+
+        def links(rows: np.ndarray, bounds: list[int]) -> pa.RecordBatch:
+            found = set()
+            for begin, end in zip(bounds[:-1], bounds[1:]):
+                found.update(_list_candidates(rows[begin:end, 1:], percent))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([pair[k] for pair in found], pa.int64()) for k in range(2)], names=["u", "v"]
+            )
+
+        for batch in batches:
+            rows = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns], 1)])
+            changes = np.any(rows[1:][:, [0, 2, 3]] != rows[:-1][:, [0, 2, 3]], axis=1)
+            bounds = [0, *(np.flatnonzero(changes) + 1).tolist()]
+            yield links(rows, bounds)
+            held = rows[bounds[-1] :]
+        yield links(held, [0, len(held)] if len(held) else [0])
+
+    return paired.mapInArrow(run, "u long, v long")
+
+
 def _first_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     """Links between the rows of two blocks (or within one) that unite components.
 
@@ -216,15 +288,10 @@ def _first_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     name = np.unique(component, return_inverse=True)[1]
     left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
     mark = np.zeros(len(codes), bool)
-    low, high = np.int64(0x007F7F7F7F7F7F7F), np.int64(0x0080808080808080)
     found = []
     for u in left:
         others = right[right > u] if x[0] == y[0] else right
-        fits = (100 * n[others] >= percent * n[u]) & (100 * n[u] >= percent * n[others])
-        others = others[fits & (name[others] != name[u])]
-        differ = packed[others] ^ packed[u]
-        marked = ((differ & low) + low | differ) & high
-        others = others[COORDINATES - np.bitwise_count(marked).sum(1, dtype=np.int64) >= MATCHES]
+        others = _agreeing(packed, n, u, others[name[others] != name[u]], percent)
         if not len(others):
             continue
         own = codes[begins[u] : begins[u] + sizes[u]]
@@ -243,15 +310,16 @@ def _first_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
 def _link_families(posts: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (u, v) that unite components of the posted documents.
 
-    Documents that share lists, directly or by others, are a family. A family is cut into
-    blocks, and each pair of blocks meets in one task with its whole sets: a document
+    Components with agreeing members, directly or by others, are a family. A family is cut
+    into blocks, and each pair of blocks meets in one task with its whole sets: a document
     travels once for each block, not for each pair, and only uniting links come out.
     """
     qs = [f"q{k}" for k in range(_LONGS)]
-    hubs = posts.groupBy("key").agg(F.min("doc").alias("v"))
-    families = components(posts.join(hubs, "key").select(F.col("doc").alias("u"), "v"))
-    families = families.select(F.col("node").alias("doc"), F.col("component").alias("family")).checkpoint()
-    blocks = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / _FAMILY_BLOCK).alias("blocks"))
+    families = components(_candidates(posts, percent))
+    families = families.select(F.col("component").alias("family"), F.col("node").alias("component"))
+    members = posts.select("doc", "component", "n", *qs).distinct().join(families, "component").checkpoint()
+    blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / _FAMILY_BLOCK).alias("blocks"))
+    release(posts.sparkSession)
 
     def hash_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -259,10 +327,9 @@ def _link_families(posts: DataFrame, texts: DataFrame, size: int, percent: int)
             out += [x.tobytes() for x in shingle_sets(part.column(1).to_pylist(), size)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc", "hashes"])
 
-    members = families.join(blocks, "family").join(posts.select("doc", "component", "n", *qs).distinct(), "doc")
-    wanted = texts.join(families.select("doc"), "doc", "left_semi").select("doc", "text")
+    wanted = texts.join(members.select("doc"), "doc", "left_semi").select("doc", "text")
     hashed = map_batches(wanted, hash_sets, "doc long, hashes binary")
-    members = members.join(hashed, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    members = members.join(blocks, "family").join(hashed, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     paired = members.withColumn("other", other).select(
         "family", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
@@ -329,7 +396,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         "component", F.coalesce("component", "doc")
     )
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    open_ = placed.drop("members").join(mixed.select("key"), "key").checkpoint()
+    open_ = placed.join(mixed.select("key"), "key").checkpoint()
     more = _link_families(open_, texts, size, percent)
     united = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
 
