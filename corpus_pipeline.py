@@ -27,13 +27,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id.
+    """One row of each group of near duplicates, that of the smallest doc_id.
 
-    Of rows that repeat a doc_id each is kept or dropped with it, and equal rows but one go.
+    Several texts under one doc_id are documents of their own: each is kept or dropped by
+    its own text. Rows of equal doc_id and text become one.
     """
-    kept = near_dups.near_duplicates(docs, NEAR_WORDS, NEAR_PERCENT).filter("kept")
-    ids = kept.select("doc_id").distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    return near_dups.first_texts(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,13 +69,20 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return bool(len(a) and len(b) and 100 * shared >= percent * (len(a) + len(b) - shared))
 
 
+def digest() -> Column:
+    """A hash of doc_id and text, 16 bytes; nulls are values of their own."""
+    name = F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string"), F.lit(":")), F.lit("n:"))
+    text = F.coalesce(F.concat(F.lit("t"), F.col("text")), F.lit("n"))
+    return F.unhex(F.md5(F.concat(name, text).cast("binary")))
+
+
 def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n, h1, h2, minima): two hashes of the whole set, and its signature."""
+    """(doc_id, digest, n, h1, h2, minima): two hashes of the whole set, and its signature."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, h1, h2, minima = [], [], [], []
-        for part in cut(batch, 1, _SLICE):
-            sets = shingle_sets(part.column(1).to_pylist(), size)
+        for part in cut(batch, 2, _SLICE):
+            sets = shingle_sets(part.column(2).to_pylist(), size)
             counts = np.array(list(map(len, sets)), np.int64)
             n.append(counts)
             some = np.flatnonzero(counts)
@@ -93,12 +100,12 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             minima += [row.tobytes() for row in least]
         numbers = [pa.array(np.concatenate(x)) for x in (n, h1, h2)]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), *numbers, pa.array(minima, pa.binary())],
-            names=["doc_id", "n", "h1", "h2", "minima"],
+            [*batch.columns[:2], *numbers, pa.array(minima, pa.binary())],
+            names=["doc_id", "digest", "n", "h1", "h2", "minima"],
         )
 
-    schema = "doc_id long, n long, h1 long, h2 long, minima binary"
-    return map_batches(docs.select("doc_id", as_bytes("text").alias("text")), work, schema)
+    schema = "doc_id long, digest binary, n long, h1 long, h2 long, minima binary"
+    return map_batches(docs.select("doc_id", digest().alias("digest"), as_bytes("text").alias("text")), work, schema)
 
 
 def _keys(column: pa.Array) -> np.ndarray:
@@ -343,21 +350,21 @@ def _link_families(posts: DataFrame, texts: DataFrame, size: int, percent: int)
     return paired.groupBy("family", "x", "y").applyInArrow(link, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text).
+def _linked_classes(docs: DataFrame, size: int, percent: int, with_null_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, digest, n, h1, h2, minima), and classes (n, h1, h2, doc, doc_id, digest, component).
 
-    Two documents are linked if 100 * shared >= ``percent`` * united shingles; a component
-    is named by its smallest doc_id. Null and empty texts have no shingles and no links.
-    Rows that repeat a doc_id are one node with the links of all its texts. A null doc_id
-    links to nothing: component null, kept. Empty tables give no rows; other columns are
-    ignored.
+    A class is the rows of equal sets, with a number ``doc`` of its own and its smallest
+    doc_id (null last) with a text's digest. Linked classes are one component, named by
+    one of their numbers. Rows without shingles, or without doc_id if so asked, have none.
     """
     rows, _ = materialize(signatures(docs, size), "signatures")
     key = ["n", "h1", "h2"]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "minima")).alias("r")
     classes = (
-        rows.filter("n > 0 AND doc_id IS NOT NULL")
+        rows.filter("n > 0" if with_null_ids else "n > 0 AND doc_id IS NOT NULL")
         .groupBy(*key)
-        .agg(F.min("doc_id").alias("doc"), F.min_by("minima", "doc_id").alias("minima"))
+        .agg(first)
+        .select(*key, F.monotonically_increasing_id().alias("doc"), "r.doc_id", "r.digest", "r.minima")
         .checkpoint()
     )
     posts = _posts(classes)
@@ -366,9 +373,14 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     members = posts.select("doc").distinct()
     posts = posts.join(_packed(classes).join(members, "doc", "left_semi"), "doc").checkpoint()
 
-    # Every text that shares a list, once, for the confirmations.
+    # A text of every class that shares a list, once, for the confirmations.
+    wanted = classes.select("doc", "digest").join(members, "doc", "left_semi")
     texts, _ = materialize(
-        docs.select(F.col("doc_id").alias("doc"), as_bytes("text").alias("text")).join(members, "doc", "left_semi"),
+        docs.select(digest().alias("digest"), as_bytes("text").alias("text"))
+        .join(wanted, "digest")
+        .groupBy("digest")
+        .agg(F.first("doc").alias("doc"), F.first("text").alias("text"))
+        .select("doc", "text"),
         "members",
     )
 
@@ -399,9 +411,23 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     open_ = placed.join(mixed.select("key"), "key").checkpoint()
     more = _link_families(open_, texts, size, percent)
     united = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
+    placed = classes.drop("minima").join(united.withColumnRenamed("node", "doc"), "doc", "left")
+    return rows, placed.withColumn("component", F.coalesce("component", "doc")).checkpoint()
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text).
 
-    of_class = classes.drop("minima").join(united.withColumnRenamed("node", "doc"), "doc", "left")
-    of_class = of_class.select(*key, F.coalesce("component", "doc").alias("found"))
+    Two documents are linked if 100 * shared >= ``percent`` * united shingles; a component
+    is named by its smallest doc_id. Null and empty texts have no shingles and no links.
+    Rows that repeat a doc_id are one node with the links of all its texts. A null doc_id
+    links to nothing: component null, kept. Empty tables give no rows; other columns are
+    ignored.
+    """
+    rows, classes = _linked_classes(docs, size, percent, with_null_ids=False)
+    names = classes.groupBy("component").agg(F.min("doc_id").alias("found"))
+    key = ["n", "h1", "h2"]
+    of_class = classes.join(names, "component").select(*key, "found")
     return rows.join(of_class, key, "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -410,6 +436,27 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
 
 
+def first_texts(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of documents without near duplicates: one row for each group of linked texts.
+
+    Here each text is a document of its own: several texts under one doc_id are linked
+    only if they are similar, and one without doc_id is linked like any other. A group keeps
+    the row of its smallest doc_id, null last, and under that id the text of the smallest
+    digest. Texts without shingles have no links. Of rows with equal doc_id and text one is
+    kept, whatever their other columns.
+    """
+    rows, classes = _linked_classes(docs, size, percent, with_null_ids=True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("r")
+    kept = classes.groupBy("component").agg(first).select("r.digest")
+    kept = kept.unionByName(rows.filter("n = 0").select("digest").distinct())
+    once = (
+        docs.select(digest().alias("digest"), F.struct("*").alias("row"), F.xxhash64("*").alias("tie"))
+        .groupBy("digest")
+        .agg(F.min_by("row", "tie").alias("row"))
+    )
+    return once.join(kept, "digest", "left_semi").select("row.*")
+
+
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of all documents."""
     return near_duplicates(spread_table(spark, sf_dir, "documents"))

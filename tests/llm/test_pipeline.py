@@ -2,6 +2,7 @@ import numpy as np
 
 import corpus_pipeline
 from quireworks.llm import near_dups, toxicity
+from tests.llm.conftest import MESSY
 from tests.llm.test_packing import check, tokenizer, whole  # noqa: F401
 
 
@@ -41,6 +42,22 @@ def test_messy_and_no_rows(spark, messy, none, small, tmp_path):
         assert (docs.count() > 0) == (label == "messy")
 
 
+def test_near_duplicates_keep_one_row_each(spark, documents, messy, small):
+    def kept(docs):
+        out = corpus_pipeline.drop_near_duplicates(spark, docs, small)
+        assert out.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    assert kept(messy) == sorted({row[:2] for row in MESSY if row[0] != 8}, key=str)
+    one = " ".join(f"one{i}" for i in range(40))
+    near = one.replace("one39", "end")
+    other = " ".join(f"other{i}" for i in range(40))
+    rows = [(1, one), (5, one), (5, other), (5, near), (7, other), (7, other), (8, ""), (8, ""), (8, None), (None, near)]
+    rows += [(9, "alone here it stands so"), (None, "no id at all but words")] * 30 + [(5, other)] * 30
+    wanted = [(1, one), (5, other), (8, ""), (8, None), (9, "alone here it stands so"), (None, "no id at all but words")]
+    assert kept(documents(rows)) == sorted(wanted, key=str)
+
+
 def test_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "personal_data", "mixing", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None and np.isclose(toxicity.THRESHOLD, 0.3)
