@@ -425,13 +425,33 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     ignored.
     """
     rows, classes = _linked_classes(docs, size, percent, with_null_ids=False)
-    names = classes.groupBy("component").agg(F.min("doc_id").alias("found"))
     key = ["n", "h1", "h2"]
+    known = rows.filter("doc_id IS NOT NULL").select("doc_id", *key)
+
+    # Ids whose rows differ, linked to each of their classes.
+    differ = [f(k) for k in key for f in (F.min, F.max)]
+    several = known.groupBy("doc_id").agg(*(x.alias(f"x{i}") for i, x in enumerate(differ)))
+    several = several.filter("x0 <> x1 OR x2 <> x3 OR x4 <> x5").select("doc_id")
+    placed = known.join(several, "doc_id").join(classes.select(*key, "component"), key)
+    placed = placed.select("doc_id", "component").distinct().checkpoint()
+    least = placed.groupBy("doc_id").agg(F.min("component").alias("v"))
+    again = components(placed.join(least, "doc_id").select(F.col("component").alias("u"), "v"))
+    again = again.select(F.col("node").alias("component"), F.col("component").alias("whole")).checkpoint()
+    whole = F.coalesce("whole", "component").alias("component")
+    classes = classes.join(again, "component", "left").select(*key, "doc_id", whole)
+    names = classes.groupBy("component").agg(F.min("doc_id").alias("found"))
     of_class = classes.join(names, "component").select(*key, "found")
-    return rows.join(of_class, key, "left").select(
+    of_id = least.withColumnRenamed("v", "component").join(again, "component", "left").select("doc_id", whole)
+    of_id = of_id.join(names, "component").select("doc_id", "found")
+
+    # Rows without shingles go with the other rows of their id.
+    found = known.filter("n > 0").join(of_class, key, "left").select("doc_id", "n", "found")
+    found = found.unionByName(known.filter("n = 0").join(of_id, "doc_id", "left").select("doc_id", "n", "found"))
+    nulls = rows.filter("doc_id IS NULL").select("doc_id", "n", F.lit(None).cast("long").alias("found"))
+    return found.unionByName(nulls).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"),
+        F.coalesce("found", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("found", "doc_id"), F.lit(True)).alias("kept"),
     )
 

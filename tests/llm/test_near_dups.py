@@ -76,6 +76,15 @@ def test_groups_chains_and_a_common_line(documents):
     assert found(near_dups.near_duplicates(documents(rows))) == expected(rows)
 
 
+def test_ids_with_several_texts(documents):
+    """Links pass through every text of an id, also when the id names none of its classes."""
+    texts = [" ".join(f"{name}{i}" for i in range(30)) for name in "abcde"]
+    a, b, c, d, e = texts
+    rows = [(1, a), (5, a), (5, b), (6, b), (6, c), (9, c), (9, ""), (2, d), (3, d), (3, d), (10, e), (10, None), (None, a)]
+    assert found(near_dups.near_duplicates(documents(rows[:3]))) == expected(rows[:3])
+    assert found(near_dups.near_duplicates(documents(rows))) == expected(rows)
+
+
 def test_five_words(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
