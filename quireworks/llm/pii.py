@@ -24,7 +24,7 @@ from quireworks.llm.common import map_batches, spread_table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{mark}-{kind}" for kind in KINDS for mark in "BI"))
-CONTEXT = 3  # words to each side of a digit or at-sign that a window holds
+CONTEXT = 3  # words to each side of a digit, at-sign or spelt sign that a window holds
 EPOCHS, RATE, RIDGE = 300, 0.1, 0.01
 
 # The patterns of the contract. Runs of digits before a dot are taken whole
@@ -37,6 +37,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _SIGNAL = re.compile(r"[0-9@]")
 _SPELT = re.compile(r"\bat\W+\S+\s+\W?dot\b", re.IGNORECASE)
+_SIGNS = frozenset(("at", "[at]", "(at)", "dot", "[dot]", "(dot)"))
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 # The small labelled table: personal data in brackets after its kind.
@@ -299,18 +300,18 @@ def viterbi(model: Crf, rows: list[list[list[str]]], most: int = 1 << 16) -> lis
 
 def signals(text: str) -> bool:
     """Whether a text or line has anything that a span of any kind needs."""
-    return bool(_SIGNAL.search(text) or (("dot" in text or "DOT" in text) and _SPELT.search(text)))
+    return bool(_SIGNAL.search(text) or ("dot" in text.lower() and _SPELT.search(text)))
 
 
 def _windows(text: str) -> Iterator[list[re.Match]]:
-    """Runs of words of a line near a digit or an at-sign; nothing else can be found there."""
+    """Runs of words of a line near a digit, an at-sign or a spelt sign; nothing else can be found there."""
     for line in re.finditer(r"[^\n]+", text):
         if not signals(line.group()):
             continue
         words = list(_WORD.finditer(text, line.start(), line.end()))
         near = [
             i for i, w in enumerate(words)
-            if _SIGNAL.search(w.group()) or w.group().lower().strip(".,:;") in ("at", "[at]", "(at)")
+            if _SIGNAL.search(w.group()) or w.group().lower().strip(".,:;") in _SIGNS
         ]
         begin = end = 0
         for i in near:

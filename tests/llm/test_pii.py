@@ -75,6 +75,19 @@ def test_model_adds_what_patterns_miss_and_leaves_plain_text_alone(model):
     assert added[2:] == [[], [], []]
 
 
+def test_addresses_spelt_with_several_dots(model):
+    texts = [
+        "you may ask {info at shop dot co dot uk} about it today",
+        "write to {anna dot maria dot berg at example dot org} please",
+        "mail {anna (dot) berg (at) mail (dot) example (dot) org} for it",
+        "mail {max at firma Dot co Dot uk} now",
+        "she sat at noon and saw the dot on the page",
+    ]
+    plain_texts = [re.sub("[{}]", "", text) for text in texts]
+    found = [[text[s:e] for s, _, e in added] for text, (_, added) in zip(plain_texts, pii.find_spans(plain_texts, model))]
+    assert found == [re.findall(r"\{(.*)\}", text) for text in texts]
+
+
 def test_messy_rows(messy):
     rows = pii.find_personal_data(messy).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(row[0]) for row in MESSY)
