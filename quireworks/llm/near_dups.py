@@ -2,15 +2,15 @@
 
 A document's set of shingles has a signature of COORDINATES minima. Documents are posted
 under pairs of coordinate and minimum. In any one order of all pairs, two documents that
-agree in MATCHES coordinates share one of their first COORDINATES - MATCHES + 1, so only
-those are posted, the rare ones first: what a line that many documents hold gives comes
-last. Pairs that meet are counted over whole signatures, kept from MATCHES on, and
+agree in ``matches(percent)`` coordinates share one of their first COORDINATES - matches + 1,
+so only those are posted, the rare ones first: what a line that many documents hold gives
+comes last. Pairs that meet are counted over whole signatures, kept from ``matches`` on, and
 confirmed on whole sets.
 
 Lists are merged by skipping: equal sets are one node; every node is first compared with
 one central member of its lists only; lists whose members are connected by then are
 skipped, and in the others only members of different components are compared. First by
-signatures, list by list: which components agree in MATCHES coordinates makes them a
+signatures, list by list: which components agree in enough coordinates makes them a
 family. Then by whole sets, family by family, block by block, until they are united. So a
 group of copies costs its size, not its square, and no link between components is lost;
 what still costs its square is a group of texts that are nearly but not quite similar
@@ -19,6 +19,7 @@ enough, since each pair of them must be refuted.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +34,8 @@ from quireworks.session import materialize
 
 SHINGLE = 4
 PERCENT = 80
-# A pair at the threshold agrees in 63 coordinates with binomial probability 0.8, in fewer
-# than 35 with probability 3e-6.
-COORDINATES, MATCHES = 63, 35
-PREFIX = COORDINATES - MATCHES + 1
+COORDINATES = 63
+MISSED = 3e-6  # the most probability that a pair at the threshold is missed
 _PER_LONG = 7  # bytes of signature in a long, so that sums don't overflow
 _LONGS = COORDINATES // _PER_LONG
 _SLICE = 2 << 20
@@ -48,6 +47,22 @@ _A = _rng.integers(1, 1 << 63, COORDINATES, np.uint64) * np.uint64(2) + np.uint6
 _B = _rng.integers(0, 1 << 63, COORDINATES, np.uint64)
 
 
+def matches(percent: int) -> int:
+    """In how many coordinates a pair must agree to be compared (80 percent: 35 of 63).
+
+    A pair at the threshold agrees in each with probability percent / 100; the number is the
+    largest that fewer reach with a probability of MISSED at most.
+    """
+    p, below = percent / 100, 0.0
+    for m in range(COORDINATES + 1):
+        below += math.comb(COORDINATES, m) * p**m * (1 - p) ** (COORDINATES - m)
+        if below > MISSED:
+            break
+    if not (m and percent <= 100):
+        raise ValueError(f"{percent} percent: pairs can be found from 19 to 100 percent")
+    return m
+
+
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct hashes of the word shingles of each text; shorter texts are one shingle."""
     words = Texts(texts, lower=True)
@@ -132,16 +147,17 @@ def pair_counts(nodes: DataFrame) -> np.ndarray:
     return out
 
 
-def _posts(nodes: DataFrame) -> DataFrame:
-    """(key, doc): a row for each of the PREFIX rarest pairs of each node."""
+def _posts(nodes: DataFrame, percent: int) -> DataFrame:
+    """(key, doc): a row for each of the rarest pairs of each node, as many as ``matches`` asks."""
+    prefix = COORDINATES - matches(percent) + 1
     counts = pair_counts(nodes)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = _keys(batch.column(1))
         rare = counts[(keys % np.uint64(_BUCKETS)).astype(np.int64)]
-        order = np.lexsort((keys, rare), axis=1)[:, :PREFIX]  # one order for all nodes
+        order = np.lexsort((keys, rare), axis=1)[:, :prefix]  # one order for all nodes
         posted = np.take_along_axis(keys, order, 1)
-        doc = np.repeat(batch.column(0).to_numpy(), PREFIX)
+        doc = np.repeat(batch.column(0).to_numpy(), prefix)
         return pa.RecordBatch.from_arrays(
             [pa.array(posted.ravel().view(np.int64)), pa.array(doc)], names=["key", "doc"]
         )
@@ -182,7 +198,7 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     """Sizes that allow the similarity, and enough agreements."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     sizes = (100 * n >= percent * m) & (100 * m >= percent * n)
-    return sizes & (_agreements(a, b) >= MATCHES)
+    return sizes & (_agreements(a, b) >= matches(percent))
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -210,13 +226,15 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return joined.mapInArrow(run, "u long, v long")
 
 
-def _agreeing(packed: np.ndarray, n: np.ndarray, u: int, others: np.ndarray, percent: int) -> np.ndarray:
-    """Those of the others that ``_may_link`` to row u."""
+def _agreeing(
+    packed: np.ndarray, n: np.ndarray, u: int, others: np.ndarray, percent: int, least: int
+) -> np.ndarray:
+    """Those of the others that ``_may_link`` to row u; ``least`` is ``matches(percent)``."""
     others = others[(100 * n[others] >= percent * n[u]) & (100 * n[u] >= percent * n[others])]
     low, high = np.int64(0x007F7F7F7F7F7F7F), np.int64(0x0080808080808080)
     differ = packed[others] ^ packed[u]
     marked = ((differ & low) + low | differ) & high
-    return others[COORDINATES - np.bitwise_count(marked).sum(1, dtype=np.int64) >= MATCHES]
+    return others[COORDINATES - np.bitwise_count(marked).sum(1, dtype=np.int64) >= least]
 
 
 def _list_candidates(part: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -228,13 +246,13 @@ def _list_candidates(part: np.ndarray, percent: int) -> list[tuple[int, int]]:
     block, x, y, component, n = part[:, :5].T
     packed = part[:, 5:]
     left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-    name = component.copy()
+    name, least = component.copy(), matches(percent)
     found = []
     for u in left:
         others = right[right > u] if x[0] == y[0] else right
         others = others[name[others] != name[u]]
         if len(others):
-            agreeing = _agreeing(packed, n, u, others, percent)
+            agreeing = _agreeing(packed, n, u, others, percent, least)
             for other, at in zip(*np.unique(name[agreeing], return_index=True)):
                 found.append((int(component[u]), int(component[agreeing[at]])))
                 name[name == other] = name[u]
@@ -294,11 +312,11 @@ def _first_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
     name = np.unique(component, return_inverse=True)[1]
     left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-    mark = np.zeros(len(codes), bool)
+    mark, least = np.zeros(len(codes), bool), matches(percent)
     found = []
     for u in left:
         others = right[right > u] if x[0] == y[0] else right
-        others = _agreeing(packed, n, u, others[name[others] != name[u]], percent)
+        others = _agreeing(packed, n, u, others[name[others] != name[u]], percent, least)
         if not len(others):
             continue
         own = codes[begins[u] : begins[u] + sizes[u]]
@@ -357,6 +375,7 @@ def _linked_classes(docs: DataFrame, size: int, percent: int, with_null_ids: boo
     doc_id (null last) with a text's digest. Linked classes are one component, named by
     one of their numbers. Rows without shingles, or without doc_id if so asked, have none.
     """
+    matches(percent)  # refuses what it can't find
     rows, _ = materialize(signatures(docs, size), "signatures")
     key = ["n", "h1", "h2"]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "minima")).alias("r")
@@ -367,7 +386,7 @@ def _linked_classes(docs: DataFrame, size: int, percent: int, with_null_ids: boo
         .select(*key, F.monotonically_increasing_id().alias("doc"), "r.doc_id", "r.digest", "r.minima")
         .checkpoint()
     )
-    posts = _posts(classes)
+    posts = _posts(classes, percent)
     lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     posts = posts.join(lists, "key").checkpoint()
     members = posts.select("doc").distinct()
@@ -418,7 +437,7 @@ def _linked_classes(docs: DataFrame, size: int, percent: int, with_null_ids: boo
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text).
 
-    Two documents are linked if 100 * shared >= ``percent`` * united shingles; a component
+    Two documents are linked if 100 * shared >= ``percent`` (19 to 100) * united shingles; a component
     is named by its smallest doc_id. Null and empty texts have no shingles and no links.
     Rows that repeat a doc_id are one node with the links of all its texts. A null doc_id
     links to nothing: component null, kept. Empty tables give no rows; other columns are

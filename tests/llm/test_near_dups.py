@@ -1,6 +1,9 @@
 import random
 import re
 
+import numpy as np
+import pytest
+
 from quireworks.llm import near_dups
 from quireworks.llm.components import components
 from tests.llm.conftest import MESSY
@@ -85,6 +88,17 @@ def test_ids_with_several_texts(documents):
     assert found(near_dups.near_duplicates(documents(rows))) == expected(rows)
 
 
+def test_matches_miss_few_pairs_at_any_percent():
+    rng = np.random.default_rng(3)
+    assert near_dups.matches(80) == 35 and near_dups.matches(100) == 63
+    for percent in (20, 50, 60, 70, 80, 95):
+        agree = rng.binomial(near_dups.COORDINATES, percent / 100, 200_000)
+        assert (agree < near_dups.matches(percent)).mean() < 5e-5
+    for percent in (0, 10, 18, 101):
+        with pytest.raises(ValueError):
+            near_dups.matches(percent)
+
+
 def test_five_words(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
