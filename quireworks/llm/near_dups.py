@@ -40,7 +40,8 @@ _PER_LONG = 7  # bytes of signature in a long, so that sums don't overflow
 _LONGS = COORDINATES // _PER_LONG
 _SLICE = 2 << 20
 _LIST_BLOCK = 2048  # members of a list that are compared by signatures in one go
-_FAMILY_BLOCK = 256  # documents of a block in the last comparison
+_FAMILY_BLOCK = 256  # documents of a block in the last comparison, at most about
+_FAMILY_HASHES = 1 << 21  # and hashes of their sets
 _BUCKETS = 1 << 16  # counters of the sketch that orders pairs of coordinate and minimum
 _rng = np.random.default_rng(7)
 _A = _rng.integers(1, 1 << 63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -332,6 +333,12 @@ def _first_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     return found
 
 
+def _family_blocks(members: DataFrame) -> DataFrame:
+    """(family, blocks): so many that a block has few documents and few hashes, however long the texts."""
+    documents, hashes = F.count(F.lit(1)) / _FAMILY_BLOCK, F.sum("n") / _FAMILY_HASHES
+    return members.groupBy("family").agg(F.ceil(F.greatest(documents, hashes)).alias("blocks"))
+
+
 def _link_families(posts: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (u, v) that unite components of the posted documents.
 
@@ -343,7 +350,7 @@ def _link_families(posts: DataFrame, texts: DataFrame, size: int, percent: int)
     families = components(_candidates(posts, percent))
     families = families.select(F.col("component").alias("family"), F.col("node").alias("component"))
     members = posts.select("doc", "component", "n", *qs).distinct().join(families, "component").checkpoint()
-    blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / _FAMILY_BLOCK).alias("blocks"))
+    blocks = _family_blocks(members)
     release(posts.sparkSession)
 
     def hash_sets(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -88,6 +88,12 @@ def test_ids_with_several_texts(documents):
     assert found(near_dups.near_duplicates(documents(rows))) == expected(rows)
 
 
+def test_blocks_are_bounded_in_hashes(spark):
+    members = [(1, 100)] * 600 + [(2, 400_000)] * 50 + [(3, 5)]
+    found = near_dups._family_blocks(spark.createDataFrame(members, "family long, n long")).collect()
+    assert {r.family: r.blocks for r in found} == {1: 3, 2: -(-20_000_000 // near_dups._FAMILY_HASHES), 3: 1}
+
+
 def test_matches_miss_few_pairs_at_any_percent():
     rng = np.random.default_rng(3)
     assert near_dups.matches(80) == 35 and near_dups.matches(100) == 63
