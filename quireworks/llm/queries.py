@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import centroids, fixity, mixing, near_dups, neighbours, packing, pii, quality, repeats, token_counts, toxicity
+from quireworks.llm import centroids, fixity, mixing, near_dups, negatives, neighbours, packing, pii, quality, repeats, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
@@ -21,7 +21,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         neighbours.op8_neighbours,
         fixity.op9_fixity,
         toxicity.op10_toxicity,
+        negatives.op11_negatives,
         centroids.op13_centroids,
     )
 }
-CHECKS: dict[str, str] = {"op4_mixing": mixing.OP4_SQL, "op9_fixity": fixity.OP9_SQL, "op13_centroids": centroids.OP13_SQL}
+CHECKS: dict[str, str] = {
+    "op4_mixing": mixing.OP4_SQL,
+    "op9_fixity": fixity.OP9_SQL,
+    "op11_negatives": negatives.OP11_SQL,
+    "op13_centroids": centroids.OP13_SQL,
+}
