@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireworks.llm import centroids, fixity, mixing, near_dups, negatives, neighbours, packing, pii, quality, repeats, token_counts, toxicity
+from quireworks.llm import centroids, fixity, mixing, near_dups, negatives, neighbours, ngrams, packing, pii, quality, repeats, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fixity.op9_fixity,
         toxicity.op10_toxicity,
         negatives.op11_negatives,
+        ngrams.op12_scores,
         centroids.op13_centroids,
     )
 }
