@@ -35,7 +35,7 @@ from quireworks.llm.elias_fano import Trie
 from quireworks.llm.words import Texts, mix
 from quireworks.session import delete_path, materialize
 
-MASS, GROWTH = 2.0, 0.75
+MASS, GROWTH = 3.0, 0.8
 HOT = 1 << 14
 BLOCK_BYTES = 32 << 20  # texts of a block, about
 SHARD_WORDS = 1_000_000  # words or pairs that a shard gets, about
