@@ -9,10 +9,11 @@ target by about one document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quireworks.llm.common import WORD, table, with_position
+from quireworks.llm.common import WORD, table, with_position, with_running_sums
+from quireworks.session import materialize
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -30,31 +31,28 @@ def source_targets(
     its source, and the excess goes to the others by weight. With sources in order of
     size per weight those at their limit come first, so one running sum finds the level.
     ``first`` numbers the sources' documents: how many stand in the sources before.
-    The windows see one row per source.
+    The running sums go by ranges of sources, so there may be as many as documents.
     """
     per = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(by_name) - 1) % len(weights)
-    weight = F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int"))
-    everything = Window.partitionBy()
-    by_level = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        per.withColumn("weight", weight)
-        .withColumn("first", F.coalesce(F.sum("n_docs").over(by_name.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("words", F.sum("source_size").over(everything))
-        .withColumn("room", F.lit(share) * F.col("words") - F.lit(most) * F.coalesce(F.sum("source_size").over(before), F.lit(0)))
-        .withColumn("left", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-        .withColumn("full", F.col("weight") * F.col("room") / F.col("left") >= F.lit(most) * F.col("source_size"))
+    by_name = F.col("source").asc_nulls_last()
+    named = with_running_sums(per, [by_name], {"turn": None, "first": F.col("n_docs")})
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("turn") % len(weights) + 1).cast("int"))
+    weighed = named.withColumn("weight", weight.cast("long"))
+    by_level = [F.col("source_size") / F.col("weight"), by_name]
+    ranked = with_running_sums(
+        weighed, by_level, {"at": None, "words_before": F.col("source_size"), "weight_before": F.col("weight")}
     )
+    total = ranked.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weight")).first()
+    room = F.lit(share) * F.lit(total["words"]) - F.lit(most) * F.col("words_before")
+    left = F.lit(total["weight"]) - F.col("weight_before")
+    found = ranked.withColumn("room", room).withColumn("left", left)
     # The first source below its limit sets the level for all that follow.
-    found = ranked.withColumn("at", F.row_number().over(by_level)).withColumn(
-        "level", F.min(F.when(~F.col("full"), F.struct("at", "room", "left"))).over(everything)
-    )
-    capped = F.col("level").isNull() | (F.col("at") < F.col("level.at"))
-    target = F.when(capped, F.lit(most) * F.col("source_size")).otherwise(
-        F.col("weight") * F.col("level.room") / F.col("level.left")
-    )
+    below = F.col("weight") * F.col("room") / F.col("left") < F.lit(most) * F.col("source_size")
+    level = found.filter(below).agg(F.min(F.struct("at", "room", "left")).alias("level")).first()["level"]
+    target = F.lit(most) * F.col("source_size")
+    if level is not None:
+        shared = F.col("weight") * F.lit(level["room"]) / F.lit(level["left"])
+        target = F.when(F.col("at") < level["at"], target).otherwise(shared)
     return found.select("source", "n_docs", "source_size", target.alias("target"), "first")
 
 
@@ -77,14 +75,14 @@ def mix_sources(
     Documents without words may get copies, which take no words. Repeated rows count as
     documents of their own. Other columns are ignored.
     """
-    sizes = docs.select("doc_id", "source", _size().alias("size")).checkpoint()
+    sizes = docs.select("doc_id", "source", _size(F.col("text")).alias("size")).checkpoint()
     return _with_copies(sizes, weights, share, most, seed).select(
         "doc_id", "source", "size", "source_size", "target", "copies"
     )
 
 
-def _size() -> Column:
-    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+def _size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def _with_copies(
@@ -92,13 +90,14 @@ def _with_copies(
 ) -> DataFrame:
     """Add the source's columns and copies to rows of (doc_id, source, size, ...).
 
-    The order is by range of (source, size, doc_id), so a hot source spreads over tasks.
+    The order is by range of (source, size, doc_id), so a hot source spreads over tasks;
+    in the join with the targets adaptive execution splits it.
     """
     order = [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("doc_id").asc_nulls_last()]
     placed = with_position(rows, order, "idx")
     # One row per source; joined with null sources kept.
     targets = source_targets(placed, weights, share, most).withColumnRenamed("source", "_source")
-    joined = placed.join(F.broadcast(targets), F.col("source").eqNullSafe(F.col("_source")))
+    joined = placed.join(targets, F.col("source").eqNullSafe(F.col("_source")))
     rate = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
     rank = (F.col("idx") - F.col("first")).cast("double")
     offset = offset_of(F.col("source"), seed)
@@ -117,13 +116,15 @@ def repeat_documents(
 ) -> DataFrame:
     """The rows of the mix: each document as often as ``mix_sources`` takes it, all columns kept.
 
-    Whole rows go through the ordering, so that no key has to find them again; a row gives
-    at most ``most`` rows, rounded up.
+    Rows are numbered as they are written, and only (number, source, size, id) is ordered;
+    the copies then join the rows by number. A row gives at most ``most`` rows, rounded up.
     """
-    rows = docs.select("doc_id", "source", _size().alias("size"), F.struct("*").alias("doc"))
-    mixed = _with_copies(rows, weights, share, most, seed)
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+    written, _ = materialize(numbered, "mixing-rows")
+    sizes = written.select("row", "doc.doc_id", "doc.source", _size(F.col("doc.text")).alias("size"))
+    mixed = _with_copies(sizes, weights, share, most, seed).filter("copies > 0").select("row", "copies")
     turns = F.array_repeat(F.lit(0), F.col("copies").cast("int"))
-    return mixed.select("doc", F.explode(turns).alias("turn")).select("doc.*")
+    return written.join(mixed, "row").select("doc", F.explode(turns).alias("turn")).select("doc.*")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,7 +124,8 @@ def base_spans(text: str) -> list[Span]:
             found.append((start, 0, end))
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".")):
+            parts = [part.lstrip("0") or "0" for part in m.group().split(".")]
+            if all(len(part) <= 3 and int(part) <= 255 for part in parts):
                 found.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             digits = re.sub(r"[^0-9]", "", m.group())
@@ -417,7 +418,7 @@ def find_personal_data(docs: DataFrame, model: Crf | None = None) -> DataFrame:
             names=["doc_id", *rows],
         )
 
-    return map_batches(docs.select("doc_id", "text"), work, SPANS)
+    return map_batches(docs.select("doc_id", "text"), work, SPANS, "text")
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -459,7 +460,7 @@ def mask_personal_data(docs: DataFrame, model: Crf | None = None) -> DataFrame:
             columns[count] = pa.array(sizes, pa.int64())
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    return map_batches(docs, work, StructType(fields))
+    return map_batches(docs, work, StructType(fields), "text")
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ PREFIXES = (4, 5, 6)
 RIDGE = 0.05
 SWAP_PENALTY = 1.0
 THRESHOLD = 0.3
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 # Group mentions, by language, exchanged for one another within a line.
@@ -147,7 +147,7 @@ def presence(sample: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarra
         return sorted({index[name] for word in words for name in features(word) if name in index})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in cut(whole, 0, _SLICE)):
             rows = []
             for text, label in zip(*(c.to_pylist() for c in batch.columns)):
                 words = set(map(normal, set(text.split())))
@@ -236,19 +236,17 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
             yield tuple(x for x in features(normal(word)) if x in weights) or None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(wanted)
+        cache = WordCache(wanted, 100_000)
         for batch in batches:
-            scores = []
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            for text in texts:
-                words = set((text or b"").split())
-                known = cache.ready(words)
-                names = set().union(*filter(None, map(known.__getitem__, words)))
-                z = bias + sum(weights[x] for x in sorted(names))
-                scores.append(1 / (1 + np.exp(-min(max(z, -40.0), 40.0))))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=names_out
-            )
+            for part in cut(batch, at, _SLICE):
+                scores = []
+                for text in part.column(at).cast(pa.binary()):
+                    words = set((text.as_py() or b"").split())
+                    known = cache.ready(words)
+                    names = set().union(*filter(None, map(known.__getitem__, words)))
+                    z = bias + sum(weights[x] for x in sorted(names))
+                    scores.append(1 / (1 + np.exp(-min(max(z, -40.0), 40.0))))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=names_out)
 
     return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("score", DoubleType())]))
 

@@ -64,3 +64,28 @@ def test_no_rows(none):
 def test_native(spark, small):
     plan = mixing.op4_mixing(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_source_for_every_document(spark):
+    """Nothing goes by one task or broadcast with the sources: 100,000 of them, sizes 1 to 50."""
+    docs = spark.range(100_000).selectExpr(
+        "id AS doc_id", "concat('s', lpad(id, 6, '0')) AS source", "repeat('w ', cast(1 + (id * 7919) % 50 AS int)) AS text"
+    )
+    targets = mixing.source_targets(docs.selectExpr("source", "size(split(trim(text), ' ')) AS size"))
+    found = {r.source: (r.target, r.first) for r in targets.collect()}
+    sizes = [1 + (i * 7919) % 50 for i in range(100_000)]
+    weights = [(5, 2, 1)[i % 3] for i in range(100_000)]
+    order = sorted(range(100_000), key=lambda i: (sizes[i] / weights[i], i))
+    room, left = 1.5 * sum(sizes), sum(weights)
+    for place, i in enumerate(order):
+        if weights[i] * room / left < 2 * sizes[i]:
+            break
+        room, left = room - 2 * sizes[i], left - weights[i]
+    capped = set(order[:place])
+    for i in range(0, 100_000, 37):
+        wanted = 2.0 * sizes[i] if i in capped else weights[i] * room / left
+        assert abs(found[f"s{i:06d}"][0] - wanted) < 1e-6 and found[f"s{i:06d}"][1] == i
+    mixed = mixing.mix_sources(docs)
+    assert mixed.count() == 100_000
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan.split("Join")[1]

@@ -108,3 +108,11 @@ def test_masking(messy, none):
     assert rows[5].n_chars == len(rows[5].text)
     assert rows[1].text is None and rows[6].text == dict((r[0], r[1]) for r in MESSY)[6]
     assert pii.mask_personal_data(none).collect() == [] and pii.find_personal_data(none).collect() == []
+
+
+def test_addresses_with_very_many_digits(documents):
+    zeros, nines = "0" * 5000, "9" * 5000
+    rows = [(1, f"see 1.2.3.{zeros} or {zeros}1.2.3.4"), (2, f"see 1.2.3.{nines}"), (3, f"{zeros}"), (4, f"{zeros}.{zeros}.{zeros}.{zeros}")]
+    found = {r.doc_id: r.n_ip for r in pii.find_personal_data(documents(rows)).collect()}
+    assert found == {1: 2, 2: 0, 3: 0, 4: 1}
+    assert pii.mask_personal_data(documents(rows)).count() == 4
