@@ -16,12 +16,13 @@ from array import array
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from quireworks.llm.common import as_bytes, spread_table
-from quireworks.llm.words import WordCache, kept_by_worker
+from quireworks.llm.words import WordCache, kept_by_worker, word_hashes
 
 CAPACITY = 2048
 END = 1
@@ -42,10 +43,14 @@ def tokenizer_path(name: str) -> str:
 
 
 class WordEncoder:
-    """Token ids of whole texts for a tokenizer that drops white space and keeps words apart.
-
-    The text is cut at ASCII white space, at which no token and no normalisation reaches
-    across, so ids of a text are those of its pieces in order and pieces are cached.
+    """Token ids of whole texts for a tokenizer that drops white space, keeps words apart from
+    other characters and lowers case.
+
+    A text is cut at ASCII white space and between an ASCII letter and another ASCII
+    character that is no apostrophe: no token and no normalisation reaches across. The
+    different pieces of some megabytes are found by their 64-bit hashes, and each is
+    encoded once while it keeps coming. Texts that may hold a special token, whose case
+    counts, are cut at white space only.
     """
 
     def __init__(self, path: str):
@@ -53,33 +58,81 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bodies = WordCache(self._encode, 250_000)
-        self.words = WordCache(self._split, 150_000)
-
-    def _encode(self, words: list[bytes]) -> Iterator[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        for found in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-            yield array("I", found.ids).tobytes()
-
-    def _split(self, words: list[bytes]) -> list[bytes]:
-        """Lower case and marks at a word's end make many words of one; they encode by themselves."""
-        parts = []
-        for word in words:
-            if b"<|" in word:  # may hold a special token
-                parts.append((word, b""))
-                continue
-            low = word.lower()
-            body = low.rstrip(b".,;:!?")
-            parts.append((body, low[len(body) :]) if body[-1:].isalpha() else (low, b""))
-        known = self.bodies.ready(x for pair in parts for x in pair)
-        return [known[body] + known[tail] for body, tail in parts]
+        self.model = self.tokenizer.model
+        self.pieces = WordCache(self._encode, 300_000)
+
+    def _encode(self, pieces: list[bytes]) -> Iterator[bytes]:
+        """Ids of each piece. What is a word of letters that nothing would normalise goes to the
+        tokenizer's model at once, its bytes written as the characters that stand for them."""
+        others = iter(self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in pieces if not _plain(p)], add_special_tokens=False))
+        tokenize = self.model.tokenize
+        for piece in pieces:
+            if piece.isalpha():
+                ids = [token.id for token in tokenize(piece.decode("ascii").lower())]
+            elif _plain(piece):
+                text = piece.decode().lower().encode().decode("latin-1").translate(_BYTE_NAMES)
+                ids = [token.id for token in tokenize(text)]
+            else:
+                ids = next(others).ids
+            yield array("I", ids).tobytes()
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [text.split() for text in texts]
-        known = self.words.ready(w for words in split for w in words)
-        for words in split:
-            yield b"".join(map(known.__getitem__, words))
+        special = [b"<|" in text for text in texts]
+        plain = [b"" if odd else text for odd, text in zip(special, texts)]
+        blob = b"\n".join(plain).lower()
+        data = np.frombuffer(blob, np.uint8)
+        starts, ends = piece_spans(data)
+        hashes, first, at = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        pieces = [blob[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
+        known = self.pieces.ready(pieces)
+        values = list(map(known.__getitem__, pieces))
+        flat = np.frombuffer(b"".join(values), np.uint32)
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        offsets = np.cumsum(sizes) - sizes
+        counts = sizes[at]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.repeat(offsets[at] - upto[:-1], counts) + np.arange(upto[-1])]
+        begins = np.concatenate([[0], np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)) + 1)])
+        edges = upto[np.searchsorted(starts, begins)].tolist()
+        for i, text in enumerate(texts):
+            if special[i]:
+                words = text.split()
+                found = self.pieces.ready(words)
+                yield b"".join(map(found.__getitem__, words))
+            else:
+                yield ids[edges[i] : edges[i + 1]].tobytes()
+
+
+# Byte-level vocabularies write a byte that is no visible Latin-1 character as the next one from 256 on.
+_HIDDEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b)]
+_BYTE_NAMES = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+
+
+def _plain(piece: bytes) -> bool:
+    """Letters below U+0250 that stay letters in lower case: composed already, one lower-case letter each."""
+    if piece.isascii():
+        return piece.isalpha()
+    text = piece.decode("utf-8", "replace").lower()
+    return text.isalpha() and max(text) < "\u0250"
+
+
+# Of each byte: 0 white space, 1 letter, 2 other ASCII, 3 apostrophe or not ASCII.
+_CLASS = np.full(256, 2, np.uint8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = 0
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_CLASS[[0x27, *range(0x80, 0x100)]] = 3
+
+
+def piece_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of pieces: words, cut between letters and other ASCII characters."""
+    kind = np.zeros(len(data) + 2, np.uint8)
+    kind[1:-1] = _CLASS[data]
+    before, after = kind[:-1], kind[1:]
+    inside = (before ^ after) == 3  # 1 and 2, in either order
+    start = ((before == 0) & (after != 0)) | (inside & (before != 0) & (after != 0))
+    end = ((before != 0) & (after == 0)) | (inside & (before != 0) & (after != 0))
+    return np.flatnonzero(start), np.flatnonzero(end)
 
 
 def encoder(path: str) -> WordEncoder:
@@ -238,7 +291,7 @@ def pack_documents(
             while at < len(texts):
                 to = at + 1
                 size = len(texts[at])
-                while to < len(texts) and size + len(texts[to]) < _FLUSH // 4:
+                while to < len(texts) and size + len(texts[to]) < _FLUSH // 2:
                     size += len(texts[to])
                     to += 1
                 for doc_id, found in zip(ids[at:to], encode.ids(texts[at:to])):

@@ -100,3 +100,14 @@ def test_windows_without_an_exact_fill_are_cut():
     for _, _, length, sequence, _ in packer.out:
         lengths[sequence] = lengths.get(sequence, 0) + length
     assert sorted(lengths.values(), reverse=True) == [16, 16, 16, 16, 8, 4, 1]
+
+
+def test_words_of_letters_equal_the_tokenizer(tokenizer):
+    """All Latin letters, alone and in words, in both cases."""
+    letters = [chr(c) for c in range(0x41, 0x300) if chr(c).isalpha()]
+    rng = random.Random(9)
+    texts = letters + ["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(3000)]
+    texts += ["".join(rng.choices("aeinrstéüßÉÜ", k=rng.randint(2, 12))) for _ in range(3000)]
+    found = packing.WordEncoder(packing.tokenizer_path(packing.TOKENIZER)).ids([t.encode() for t in texts])
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
