@@ -37,7 +37,7 @@ from quireworks.session import delete_path, materialize
 
 MASS, GROWTH = 3.0, 0.8
 HOT = 1 << 14
-BLOCK_BYTES = 32 << 20  # texts of a block, about
+BLOCK_BYTES = 12 << 20  # texts of a block, about
 SHARD_WORDS = 1_000_000  # words or pairs that a shard gets, about
 _END = np.uint64(1)  # in the place of a word's hash
 _STEPS = 65534 / 16  # codes of shares: steps of a decimal logarithm from 0 down to -16
