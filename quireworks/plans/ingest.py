@@ -103,7 +103,7 @@ def new_chunks(
     n_chunks: int | None = None,
     max_broadcast: int = BROADCAST_HASHES,
 ) -> DataFrame:
-    """First copy of every chunk that is not stored.
+    """First copy of every chunk that is not stored, for any table of stored hashes.
 
     A small batch (its size is known) is looked up by broadcasting its hashes to the scan
     of the store's hash column. A large one is de-duplicated and anti-joined on the same
@@ -123,7 +123,7 @@ def insert_publications(
     model: Model,
     batch_id: str | None = None,
     dedupe: bool = True,
-    max_broadcast: int = BROADCAST_HASHES,
+    keys: DataFrame | None = None,
     **chunking,
 ) -> IngestResult:
     """Clean, chunk, hash, drop what is stored or repeated, embed, append.
@@ -131,19 +131,19 @@ def insert_publications(
     The hashed chunks are written to the scratch folder first. That cuts the lineage
     before the embedding (a lost executor does not chunk again), gives exact counts, and
     tells the optimizer the true size of the batch. Writing a batch id again replaces
-    that batch, so a repeated call leaves the store as it was.
+    that batch, so a repeated call leaves the store as it was. ``keys`` are published with
+    the rows, see ``CollectionStore.append``.
     """
-    spark = df.sparkSession
     batch_id = batch_id or uuid.uuid4().hex
     with staged_rows(hashed_chunks(df, **chunking), "chunks") as staged:
         total = staged.count()
         if dedupe:
-            stored = store.hashes(collection, without_batch=batch_id)
-            fresh = new_chunks(staged, stored, total, max_broadcast)
+            with store.known_hashes(staged, collection, without_batch=batch_id) as known:
+                rows = stored_rows(drop_known(first_seen(staged), known), collection, dedupe)
+                store.append(embed_documents(rows, model), collection, batch_id, keys)
         else:
-            fresh = staged
-        rows = stored_rows(fresh, collection, dedupe, batch_id)
-        store.append(embed_documents(rows, model), collection, batch_id)
+            rows = stored_rows(staged, collection, dedupe, batch_id)
+            store.append(embed_documents(rows, model), collection, batch_id, keys)
         new = store.batch_count(collection, batch_id)
         return IngestResult(batch_id, new, total - new)
 
@@ -196,14 +196,16 @@ def ingest_new_titles(
     model: Model,
     **options,
 ) -> IngestResult:
-    """Pages of titles the ledger does not hold, appended without hash de-duplication."""
-    with staged_rows(new_titles(pages, ledger.read()), "titles") as fresh:
-        # The batch is named by its titles: the same call after a crash replaces it.
-        titles = fresh.select(F.xxhash64("title").alias("h")).distinct()
-        name = titles.agg(F.count(F.lit(1)), F.bit_xor("h"), F.sum(F.shiftright("h", 8))).first()
-        options.setdefault("batch_id", "titles-" + "-".join(str(x) for x in name))
-        result = insert_publications(fresh, store, collection, model, dedupe=False, **options)
-        ledger.commit(fresh)
+    """Pages of titles the ledger does not hold, appended without hash de-duplication.
+
+    The titles are published with their rows, so that a call after a crash, with whatever
+    titles, takes none of them again.
+    """
+    done = ledger.finished(store, collection)
+    with staged_rows(new_titles(pages, done), "titles") as fresh:
+        keys = ledger.entries(fresh)
+        result = insert_publications(fresh, store, collection, model, dedupe=False, keys=keys, **options)
+        ledger.settle(store, collection)
         return result
 
 

@@ -84,3 +84,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, hidden ones left out; none where there is no folder."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    found = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jpath)
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)
+    joined = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(paths).mkString("\n")
+    names = (line.rsplit("/", 1)[-1] for line in joined.split("\n"))
+    return sorted(n for n in names if n and n[0] not in "._")
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder to a name that is free; false where there is no such folder or the name is taken."""
+    jvm = spark._jvm
+    jsource, jtarget = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = jsource.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jsource) or fs.exists(jtarget):
+        return False
+    fs.mkdirs(jtarget.getParent())
+    return fs.rename(jsource, jtarget)

@@ -1,37 +1,52 @@
-"""The collection store: two Parquet tables under one root.
+"""The collection store: Parquet tables under one root.
 
 ``collections``  uuid=.../ with name, cmetadata
-``embeddings``   collection_id=.../batch_id=.../ with uuid, document, cmetadata,
-                 custom_id, content_hash, embedding
-
-A collection is a partition, so a search or a hash lookup in one reads no other. A
-batch is a partition below it, so writing a batch again replaces it. The hash is stored
-in the metadata object and in a column of its own: looking up known hashes then reads
-that column only and parses no JSON.
+``embeddings``   collection_id=.../generation=.../batch_id=.../ with uuid, document,
+                 cmetadata, custom_id, content_hash, embedding, and the keys of finished
+                 work that the batch stands for in a hidden folder ``_keys``
+``hashes``       collection_id=.../generation=.../buckets=.../batch_id=.../ with hash:
+                 32 bytes, in buckets
+
+A collection is a partition, so a search or a hash lookup in one reads no other. A batch
+is written and checked aside and published by renaming its folder, rows and keys at
+once; written again it replaces itself. Compaction writes a whole generation aside and
+publishes it by one rename: the highest generation counts, and batches that came into the
+one before meanwhile are moved over. The folder of hashes only makes lookups cheap: the
+hashes of a batch that has none there are taken from its rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quireworks.session import delete_path, path_exists
+from quireworks.session import delete_path, list_names, move_path, path_exists
 
 COLLECTIONS_SCHEMA = "name string, cmetadata string, uuid string"
 ROW_COLUMNS = ("uuid", "document", "cmetadata", "custom_id", "content_hash", "embedding")
-ROWS_SCHEMA = (
+_ROW_FIELDS = (
     "uuid string, document string, cmetadata string, custom_id string, content_hash string, "
-    "embedding array<float>, collection_id string, batch_id string"
+    "embedding array<float>"
 )
+ROWS_SCHEMA = f"{_ROW_FIELDS}, collection_id string, batch_id string"
+KEYS_SCHEMA = "kind string, key string"
+# Files that the hashes of a batch are spread over: about one for 50 million hashes of a
+# collection is enough, as a task of a lookup holds one bucket of the batch it looks up.
+HASH_BUCKETS = 16
 
 
 class CollectionStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, hash_buckets: int = HASH_BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.hash_buckets = hash_buckets
 
     @property
     def _collections(self) -> str:
@@ -41,18 +56,21 @@ class CollectionStore:
     def _embeddings(self) -> str:
         return f"{self.root}/embeddings"
 
-    def _read(self, path: str, schema: str) -> DataFrame:
-        if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+    def _aside(self) -> str:
+        """A folder for what isn't published yet."""
+        return f"{self.root}/aside/{uuid.uuid4().hex}"
 
     @staticmethod
     def collection_id(name: str) -> str:
         """Key of a collection, made from its name."""
         return hashlib.sha256(name.encode()).hexdigest()
 
+    # Collections
+
     def collections(self) -> DataFrame:
-        return self._read(self._collections, COLLECTIONS_SCHEMA)
+        if not path_exists(self.spark, self._collections):
+            return self.spark.createDataFrame([], COLLECTIONS_SCHEMA)
+        return self.spark.read.schema(COLLECTIONS_SCHEMA).parquet(self._collections)
 
     def create_collection(self, name: str, dimension: int | None = None) -> str:
         """Id of the collection; adds it where it is missing. Writers that create the same
@@ -74,34 +92,200 @@ class CollectionStore:
         row = self.spark.read.schema("cmetadata string").parquet(path).first()
         return json.loads(row.cmetadata or "{}").get("dimension") if row else None
 
-    def compact(self, name: str, files: int) -> None:
-        """Write a collection's rows anew in ``files`` files. Not while others write to it;
-        should it break off, running it again finishes it."""
+    def drop_collection(self, name: str) -> None:
+        """Remove a collection and all of its rows, the rows last."""
         key = self.collection_id(name)
-        source, copy = f"{self._embeddings}/collection_id={key}", f"{self.root}/compacted/{key}"
-        done = f"{copy}/_SUCCESS"
-        if not path_exists(self.spark, done):
-            if not path_exists(self.spark, source):
-                return
-            rows = self.rows(name).select(*ROW_COLUMNS)
-            rows.repartition(files).sortWithinPartitions("uuid").write.mode("overwrite").parquet(copy)
-        # Only a whole copy takes the place of the rows.
-        delete_path(self.spark, source)
-        self.spark.read.schema(", ".join(ROWS_SCHEMA.split(", ")[:-2])).parquet(copy).write.mode(
-            "overwrite"
-        ).parquet(f"{source}/batch_id=compacted")
-        delete_path(self.spark, copy)
+        delete_path(self.spark, f"{self._collections}/uuid={key}")
+        delete_path(self.spark, f"{self.root}/hashes/collection_id={key}")
+        delete_path(self.spark, f"{self._embeddings}/collection_id={key}")
+
+    # Generations and batches
+
+    def _generations(self, key: str) -> list[int]:
+        names = list_names(self.spark, f"{self._embeddings}/collection_id={key}")
+        return sorted(int(n.removeprefix("generation=")) for n in names if n.startswith("generation="))
+
+    def _folder(self, key: str, generation: int, table: str = "embeddings") -> str:
+        return f"{self.root}/{table}/collection_id={key}/generation={generation}"
+
+    def _batches(self, folder: str) -> set[str]:
+        names = list_names(self.spark, folder)
+        return {n.removeprefix("batch_id=") for n in names if n.startswith("batch_id=")}
+
+    def _copied(self, folder: str) -> set[str]:
+        """Batches that the compaction of a generation has taken in."""
+        path = f"{folder}/_copied"
+        if not path_exists(self.spark, path):
+            return set()
+        return {r.key for r in self.spark.read.schema(KEYS_SCHEMA).parquet(path).collect()}
+
+    def _current(self, key: str) -> tuple[int, str]:
+        """The generation that counts and its folder.
+
+        A batch that was published into an older one while that was copied is moved over
+        first, whoever comes by.
+        """
+        generations = self._generations(key)
+        if not generations:
+            return 0, self._folder(key, 0)
+        *older, newest = generations
+        folder = self._folder(key, newest)
+        for generation in older:
+            old = self._folder(key, generation)
+            if not path_exists(self.spark, f"{old}/_settled"):
+                for batch in self._batches(old) - self._copied(folder):
+                    move_path(self.spark, f"{old}/batch_id={batch}", f"{folder}/batch_id={batch}")
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{old}/_settled")
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True).close()
+        return newest, folder
 
     def rows(self, name: str | None = None) -> DataFrame:
-        """Stored rows, of one collection if a name is given (a partition filter)."""
+        """Stored rows, of one collection if a name is given: no other one is listed."""
         if name is None:
-            return self._read(self._embeddings, ROWS_SCHEMA)
-        # The folder of the collection, so that no other one is listed.
-        path = f"{self._embeddings}/collection_id={self.collection_id(name)}"
-        if not path_exists(self.spark, path):
+            keys = [n.removeprefix("collection_id=") for n in list_names(self.spark, self._embeddings)]
+        else:
+            keys = [self.collection_id(name)]
+        folders = [folder for _, folder in map(self._current, keys) if path_exists(self.spark, folder)]
+        if not folders:
             return self.spark.createDataFrame([], ROWS_SCHEMA)
-        reader = self.spark.read.schema(ROWS_SCHEMA).option("basePath", self._embeddings)
-        return reader.parquet(path)
+        schema = f"{_ROW_FIELDS}, collection_id string, generation string, batch_id string"
+        reader = self.spark.read.schema(schema).option("basePath", self._embeddings)
+        return reader.parquet(*folders).drop("generation")
+
+    def count(self, name: str) -> int:
+        return self.rows(name).count()
+
+    def batch_count(self, name: str, batch_id: str) -> int:
+        path = f"{self._current(self.collection_id(name))[1]}/batch_id={batch_id}"
+        if not path_exists(self.spark, path):
+            return 0
+        return self.spark.read.schema("uuid string").parquet(path).count()
+
+    def append(self, rows: DataFrame, name: str, batch_id: str, keys: DataFrame | None = None) -> None:
+        """Add one batch, and with it the ``keys`` (kind, key) of the work that it finishes.
+
+        The batch is written aside and checked, and appears by one rename. All vectors of a
+        collection have one length, kept in its metadata: a batch of another is refused, and
+        nothing has changed. The same batch id written again replaces its own rows only; one
+        that a compaction has taken in stays as it is. A batch without rows and keys leaves
+        nothing, not even a new collection.
+        """
+        if not re.fullmatch(r"[\w.-]+", batch_id):
+            raise ValueError(f"batch id {batch_id!r}: letters, digits and . _ - only")
+        aside = self._aside()
+        try:
+            rows.select(*ROW_COLUMNS).sortWithinPartitions("uuid").write.option(
+                "parquet.bloom.filter.enabled#uuid", "true"
+            ).parquet(aside)
+            written = self.spark.read.schema(_ROW_FIELDS).parquet(aside)
+            length = F.size("embedding")
+            about = written.agg(
+                F.count(F.lit(1)).alias("n"), F.count("content_hash").alias("hashes"),
+                F.min(F.when(length >= 0, length)).alias("least"), F.max(F.when(length >= 0, length)).alias("most"),
+            ).first()
+            known = self.dimension(name)
+            if len({about["least"], about["most"], known} - {None}) > 1:
+                raise ValueError(f"vectors of lengths {about['least']} to {about['most']}, the collection has {known}")
+            if keys is not None:
+                keys.select("kind", "key").distinct().write.parquet(f"{aside}/_keys")
+            empty = not about["n"] and (keys is None or self.spark.read.schema(KEYS_SCHEMA).parquet(f"{aside}/_keys").isEmpty())
+            if about["hashes"]:
+                self._write_hashes(written, f"{aside}-hashes")
+            if not empty:
+                self.create_collection(name, about["most"])
+            self._publish(self.collection_id(name), batch_id, aside, empty)
+        finally:
+            delete_path(self.spark, aside)
+            delete_path(self.spark, f"{aside}-hashes")
+
+    def _publish(self, key: str, batch_id: str, aside: str, empty: bool) -> None:
+        generation, folder = self._current(key)
+        if batch_id in self._copied(folder):
+            return
+        while True:
+            target = f"{folder}/batch_id={batch_id}"
+            hashes = f"{self._hash_folder(key, generation)}/batch_id={batch_id}"
+            # Without a folder of hashes they are read from the rows, before and after.
+            delete_path(self.spark, hashes)
+            old = self._aside()
+            move_path(self.spark, target, old)
+            done = empty or move_path(self.spark, aside, target)
+            delete_path(self.spark, old)
+            if not done:
+                raise RuntimeError(f"batch {batch_id} is being written by another writer")
+            # A compaction may have been published meanwhile: its generation gets the batch.
+            now, folder = self._current(key)
+            if now == generation:
+                break
+            generation = now
+            if path_exists(self.spark, f"{folder}/batch_id={batch_id}") or batch_id in self._copied(folder):
+                return
+            move_path(self.spark, target, aside)
+        move_path(self.spark, f"{aside}-hashes", hashes)
+
+    def compact(self, name: str, files: int) -> None:
+        """Write a collection's rows anew, in ``files`` files by ranges of their keys.
+
+        The copy is a generation of its own and counts from the rename that publishes it;
+        a compaction that breaks off before changes nothing. Batches published meanwhile
+        are kept. The generation before stays for readers that have begun, until the next
+        compaction.
+        """
+        key = self.collection_id(name)
+        generation, folder = self._current(key)
+        batches = self._batches(folder)
+        if not batches:
+            return
+        aside, copy = self._aside(), f"compacted-{generation + 1}"
+        taken = self._copied(folder) | batches
+        paths = [f"{folder}/batch_id={b}" for b in sorted(batches)]
+        try:
+            rows = self.spark.read.schema(_ROW_FIELDS).parquet(*paths)
+            rows.repartitionByRange(files, "uuid").sortWithinPartitions("uuid").write.option(
+                "parquet.bloom.filter.enabled#uuid", "true"
+            ).parquet(f"{aside}/batch_id={copy}")
+            keys = [f"{p}/_keys" for p in paths if path_exists(self.spark, f"{p}/_keys")]
+            if keys:
+                all_keys = self.spark.read.schema(KEYS_SCHEMA).parquet(*keys).distinct()
+                all_keys.write.parquet(f"{aside}/batch_id={copy}/_keys")
+            named = self.spark.createDataFrame([("batch", b) for b in sorted(taken)], KEYS_SCHEMA)
+            named.coalesce(1).write.parquet(f"{aside}/_copied")
+            written = self.spark.read.schema(_ROW_FIELDS).parquet(f"{aside}/batch_id={copy}")
+            self._write_hashes(written.filter("content_hash IS NOT NULL"), f"{aside}-hashes")
+            if not move_path(self.spark, aside, self._folder(key, generation + 1)):
+                raise RuntimeError("another compaction has been published")
+            move_path(self.spark, f"{aside}-hashes", f"{self._hash_folder(key, generation + 1)}/batch_id={copy}")
+        finally:
+            delete_path(self.spark, aside)
+            delete_path(self.spark, f"{aside}-hashes")
+        self._current(key)
+        for old in self._generations(key):
+            if old < generation:
+                delete_path(self.spark, self._folder(key, old))
+                delete_path(self.spark, self._folder(key, old, "hashes"))
+
+    # Keys of finished work
+
+    def keys(self, name: str, kind: str) -> DataFrame:
+        """The ``key``s of one kind that a collection's batches were published with."""
+        folder = self._current(self.collection_id(name))[1]
+        if not any(path_exists(self.spark, f"{folder}/batch_id={b}/_keys") for b in self._batches(folder)):
+            return self.spark.createDataFrame([], "key string")
+        found = self.spark.read.schema(KEYS_SCHEMA).parquet(f"{folder}/batch_id=*/_keys")
+        return found.filter(F.col("kind") == kind).select("key").distinct()
+
+    # Hashes
+
+    def _hash_folder(self, key: str, generation: int) -> str:
+        return f"{self._folder(key, generation, 'hashes')}/buckets={self.hash_buckets}"
+
+    def _write_hashes(self, rows: DataFrame, path: str) -> None:
+        """The hashes of written rows as a bucketed table; only its files are kept."""
+        name = f"quireworks_{uuid.uuid4().hex}"
+        hashes = rows.filter(F.col("content_hash").isNotNull()).select(F.unhex("content_hash").alias("hash"))
+        spread = hashes.repartition(self.hash_buckets, "hash")
+        spread.write.bucketBy(self.hash_buckets, "hash").sortBy("hash").option("path", path).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")
 
     def hashes(self, name: str, without_batch: str | None = None) -> DataFrame:
         """Content hashes of a collection; ``without_batch`` leaves out a batch that is
@@ -111,52 +295,54 @@ class CollectionStore:
             rows = rows.filter(F.col("batch_id") != without_batch)
         return rows.filter(F.col("content_hash").isNotNull()).select("content_hash")
 
-    def count(self, name: str) -> int:
-        return self.rows(name).count()
-
-    def _batch_path(self, name: str, batch_id: str) -> str:
-        return f"{self._embeddings}/collection_id={self.collection_id(name)}/batch_id={batch_id}"
-
-    def append(self, rows: DataFrame, name: str, batch_id: str) -> None:
-        """Add one batch. The same batch id written again replaces its own rows only.
+    @contextmanager
+    def known_hashes(
+        self, chunks: DataFrame, name: str, without_batch: str | None = None
+    ) -> Iterator[DataFrame]:
+        """The distinct ``content_hash``es of a batch that the collection holds, to be read
+        within the context.
 
-        A batch without rows leaves nothing, not even a new collection. All vectors of a
-        collection have one length, kept in its metadata; a batch of another is taken back.
+        The stored hashes are read by buckets and never shuffled: the batch's are brought to
+        the same buckets, and a task holds those of one. ``without_batch`` leaves out a batch
+        that is being written again.
         """
-        path = self._batch_path(name, batch_id)
-        rows.select(*ROW_COLUMNS).write.mode("overwrite").parquet(path)
-        written = self.spark.read.schema(ROWS_SCHEMA).parquet(path)
-        lengths = [
-            r["n"]
-            for r in written.select(F.size("embedding").alias("n")).filter("n >= 0").distinct().limit(2).collect()
-        ]
-        known = self.dimension(name)
-        if len({*lengths, *([] if known is None else [known])}) > 1:
-            delete_path(self.spark, path)
-            raise ValueError(f"vectors of lengths {sorted(lengths)}, the collection has {known}")
-        if written.isEmpty():
-            delete_path(self.spark, path)
-            return
-        self.create_collection(name, lengths[0] if lengths else None)
-
-    def batch_count(self, name: str, batch_id: str) -> int:
-        path = self._batch_path(name, batch_id)
-        if not path_exists(self.spark, path):
-            return 0
-        return self.spark.read.schema("uuid string").parquet(path).count()
-
-    def drop_collection(self, name: str) -> None:
-        """Remove a collection and all of its rows, the rows last."""
         key = self.collection_id(name)
-        delete_path(self.spark, f"{self._collections}/uuid={key}")
-        delete_path(self.spark, f"{self._embeddings}/collection_id={key}")
+        generation, folder = self._current(key)
+        batches = self._batches(folder) - {without_batch}
+        path = self._hash_folder(key, generation)
+        indexed = self._batches(path)
+        asked = chunks.select(F.unhex("content_hash").alias("hash")).distinct()
+        table = f"quireworks_{uuid.uuid4().hex}"
+        found = []
+        if indexed & batches:
+            self.spark.sql(
+                f"CREATE TABLE {table} (hash BINARY, batch_id STRING) USING parquet PARTITIONED BY (batch_id) "
+                f"CLUSTERED BY (hash) SORTED BY (hash) INTO {self.hash_buckets} BUCKETS LOCATION '{path}'"
+            )
+            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            stored = self.spark.table(table)
+            if others := sorted(indexed - batches):
+                stored = stored.filter(~F.col("batch_id").isin(others))
+            found.append((stored.select("hash"), asked.repartition(self.hash_buckets, "hash").hint("shuffle_hash")))
+        if others := sorted(batches - indexed):
+            # Written by an older call, by one that broke off, or without hashes.
+            rows = self.rows(name).filter(F.col("batch_id").isin(others) & F.col("content_hash").isNotNull())
+            found.append((rows.select(F.unhex("content_hash").alias("hash")), asked))
+        known = self.spark.createDataFrame([], "hash binary")
+        for i, (stored, wanted) in enumerate(found):
+            part = stored.join(wanted, "hash", "left_semi")
+            known = known.unionByName(part) if i else part
+        try:
+            yield known.distinct().select(F.lower(F.hex("hash")).alias("content_hash"))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 class Ledger:
     """Keys of finished work (paths or titles), one appended Parquet file set per commit.
 
-    Commit only after the data are written: a crash in between repeats the work, and the
-    hash filter then finds every chunk stored already.
+    An ingest publishes the keys together with its rows (``CollectionStore.keys``) and
+    settles them here afterwards; what a crash in between leaves out, the next call settles.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str = "path"):
@@ -168,12 +354,26 @@ class Ledger:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path).distinct()
 
+    def finished(self, store: CollectionStore, name: str) -> DataFrame:
+        """What is committed here or was published with a batch of the collection."""
+        published = store.keys(name, self.key).select(F.col("key").alias(self.key))
+        return self.read().unionByName(published).distinct()
+
     def import_json(self, path: str) -> None:
         """Take over a ledger kept as one JSON array of keys."""
         array = F.from_json("value", "array<string>")
         keys = self.spark.read.text(path, wholetext=True).select(F.explode(array).alias(self.key))
         self.commit(keys)
 
+    def entries(self, done: DataFrame) -> DataFrame:
+        """Keys in the form in which a batch is published with them."""
+        return done.select(F.lit(self.key).alias("kind"), F.col(self.key).cast("string").alias("key")).distinct()
+
+    def settle(self, store: CollectionStore, name: str) -> None:
+        """Commit the keys that batches of the collection were published with and that aren't here."""
+        published = store.keys(name, self.key).select(F.col("key").alias(self.key))
+        self.commit(published.join(self.read(), self.key, "left_anti"))
+
     def commit(self, done: DataFrame) -> None:
         """Append keys; a key that is appended again is read once."""
         done.select(self.key).distinct().write.mode("append").parquet(self.path)

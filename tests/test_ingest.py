@@ -346,3 +346,105 @@ def test_search_and_prompts(spark, store):
 def test_hash_sample_is_stable(spark):
     df = spark.createDataFrame([("b",), ("a",), ("",), (None,), ("a",)], "content_hash string")
     assert [r[0] for r in hash_sample(df).collect()] == ["a", "b"]
+
+
+def counted(store, name="c"):
+    return sorted(r.document for r in store.rows(name).select("document").collect())
+
+
+def test_broken_off_compaction_loses_nothing(spark, store, monkeypatch):
+    """Broken off before and after the rename, with a batch between."""
+    from quireworks.sources import store as module
+
+    for i in range(2):
+        insert_publications(pubs(spark, [("A", i, f"text {i}")]), store, "c", MODEL, f"b{i}")
+    real = module.move_path
+
+    def crash_at(wanted):
+        def move(spark, source, target):
+            if wanted in target:
+                raise RuntimeError("crash")
+            return real(spark, source, target)
+
+        return move
+
+    for i, wanted in enumerate(("generation=1", "hashes"), 2):
+        with monkeypatch.context() as patch:
+            patch.setattr(module, "move_path", crash_at(wanted))
+            with pytest.raises(RuntimeError, match="crash"):
+                store.compact("c", 1)
+        insert_publications(pubs(spark, [("A", i, f"text {i}"), ("A", 9, "text 0")]), store, "c", MODEL, f"b{i}")
+        assert documents(store) == [f"text {k}" for k in range(i + 1)]
+    store.compact("c", 1)
+    assert documents(store) == [f"text {k}" for k in range(4)]
+    insert_publications(pubs(spark, [("B", 0, "text 3"), ("B", 1, "new")]), store, "c", MODEL)
+    assert documents(store) == ["new", *(f"text {k}" for k in range(4))]
+
+
+def test_batch_published_while_a_compaction_copies_is_kept(spark, store, monkeypatch):
+    from quireworks.sources import store as module
+
+    insert_publications(pubs(spark, [("A", 0, "one")]), store, "c", MODEL, "b0")
+    begun = store.rows("c")
+    real, done = module.CollectionStore._write_hashes, []
+
+    def between(self, rows, path):
+        real(self, rows, path)
+        if not done:
+            done.append(True)
+            insert_publications(pubs(spark, [("B", 0, "two")]), CollectionStore(spark, store.root), "c", MODEL, "b1")
+
+    from quireworks.sources.store import CollectionStore
+
+    monkeypatch.setattr(module.CollectionStore, "_write_hashes", between)
+    store.compact("c", 1)
+    assert done and documents(store) == ["one", "two"]
+    assert [r.document for r in begun.collect()] == ["one"]  # a reader that began before
+    again = insert_publications(pubs(spark, [("A", 0, "one")]), store, "c", MODEL, "b0")
+    assert again.new_chunks == 0 and documents(store) == ["one", "two"]
+
+
+def test_refused_batch_leaves_the_old_one(spark, store):
+    insert_publications(pubs(spark, [("A", 0, "x"), ("A", 1, "y")]), store, "c", MODEL, "b")
+    insert_publications(pubs(spark, [("B", 0, "z")]), store, "c", MODEL, "other")
+    with pytest.raises(ValueError, match="lengths"):
+        insert_publications(pubs(spark, [("A", 0, "new")]), store, "c", hashed_words(8), "b")
+    assert documents(store) == ["x", "y", "z"]
+    insert_publications(pubs(spark, [("A", 0, "new")]), store, "c", MODEL, "b")
+    assert documents(store) == ["new", "z"]
+    with pytest.raises(ValueError, match="batch id"):
+        insert_publications(pubs(spark, [("A", 0, "q")]), store, "c", MODEL, "a/b")
+
+
+def test_title_ingest_after_a_crash_with_one_more_title(spark, store, tmp_path):
+    class Crash(Ledger):
+        def commit(self, done):
+            raise RuntimeError("crash")
+
+    rows = [("A", 0, "one"), ("B", 0, "two")]
+    with pytest.raises(RuntimeError, match="crash"):
+        ingest_new_titles(pubs(spark, rows), Crash(spark, str(tmp_path / "t"), "title"), store, "c", MODEL)
+    ledger = Ledger(spark, str(tmp_path / "t"), "title")
+    result = ingest_new_titles(pubs(spark, [*rows, ("C", 0, "three")]), ledger, store, "c", MODEL)
+    assert result.new_chunks == 1 and documents(store) == ["one", "three", "two"]
+    assert sorted(r.title for r in ledger.read().collect()) == ["A", "B", "C"]
+    store.compact("c", 1)
+    assert sorted(r.key for r in store.keys("c", "title").collect()) == ["A", "B", "C"]
+
+
+def test_hashes_are_found_with_and_without_their_buckets(spark, store, tmp_path):
+    from quireworks.sources.store import CollectionStore
+
+    insert_publications(pubs(spark, [("A", i, f"text {i}") for i in range(30)]), store, "c", MODEL, "1")
+    insert_publications(pubs(spark, [("B", i, f"more {i}") for i in range(30)]), store, "c", MODEL, "2")
+    asked = spark.createDataFrame(
+        [(f"text {i}",) for i in range(5)] + [("more 3",), ("more 3",), ("none",)], "content string"
+    ).select(F.sha2("content", 256).alias("content_hash"))
+
+    def known(store, without=None):
+        with store.known_hashes(asked, "c", without) as found:
+            return found.count()
+
+    assert known(store) == 6 and known(store, "2") == 5 and known(store, "1") == 1
+    assert known(CollectionStore(spark, store.root, hash_buckets=3)) == 6  # no such buckets: from the rows
+    assert not any(t.name.startswith("quireworks_") for t in spark.catalog.listTables())

@@ -82,3 +82,22 @@ def test_global_index_counts_without_a_single_task(spark):
     assert [r.path for r in got] == sorted(r.path for r in got)
     batches = assign_batches(df.distinct(), ["path"], 7).groupBy("batch_no").count().collect()
     assert {r["count"] for r in batches if r.batch_no <= len(got) // 7} == {7}
+
+
+def test_stored_hashes_are_not_shuffled_whatever_the_batch(spark, small, store):
+    """Buckets of the store meet the batch's hashes; only the batch's are exchanged."""
+    everything = pages(spark, small)
+    insert_publications(everything, store, "c", MODEL, "1")
+    insert_publications(everything.filter("page_no > 5"), store, "c", MODEL, "2")
+    chunks = hashed_chunks(everything)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with store.known_hashes(chunks, "c") as known:
+            lines = plan(known).splitlines()
+            assert known.count() == chunks.select("content_hash").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (join,) = [i for i, line in enumerate(lines) if "ShuffledHashJoin" in line]
+    (scan,) = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
+    assert join < scan and not any("Exchange" in line for line in lines[join:scan])
+    assert "Exchange hashpartitioning(hash" in "".join(lines[scan:])
