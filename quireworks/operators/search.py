@@ -3,6 +3,11 @@
 Every vector is scored against every query inside a task, as a matrix product over
 Arrow batches, and a task keeps k rows per query. What is shuffled is the shortlist
 (tasks x queries x k rows), never the scored pairs.
+
+Up to a stated number of bytes the queries are broadcast and the vectors are scanned where
+they lie. A larger set of queries is cut into blocks, as are the vectors, and a join on
+block numbers brings each block of queries to each block of vectors: the queries then
+never pass the driver.
 """
 
 from __future__ import annotations
@@ -19,12 +24,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from quireworks.functions.keys import hit_title
 from quireworks.functions.vectors import DISTANCE_DIGITS
-from quireworks.session import delete_path, materialize
+from quireworks.session import delete_path, ensure_checkpoint_dir, materialize
 
 # Fixed value: hits per query unless the caller says otherwise.
 TOP_K = 5
 # Query vectors are broadcast in waves of about so many bytes; each wave scans the vectors.
 MAX_QUERY_BYTES = 64 << 20
+# A set of queries of more waves than this is joined by blocks.
+MAX_WAVES = 8
+# Bytes of the vectors of a block, about: a pair of blocks is one row of an Arrow batch.
+BLOCK_BYTES = 24 << 20
+QUERY_BLOCK_BYTES = 4 << 20
+# Rows of shortlists that a task holds before it sends them on.
+_HELD_ROWS = 1_000_000
 # A larger table is read by this many tasks, several splits each: every task sends k rows
 # per query, so more tasks would mean a larger shuffle.
 MAX_TASKS = 20_000
@@ -129,6 +141,63 @@ def _scan(query_ids: pa.Array, queries: np.ndarray, k: int, names: Sequence[str]
     return nearest_in_partition
 
 
+def _scan_pairs(k: int, names: Sequence[str]):
+    """Partition function over pairs of blocks (``queries`` and ``vectors``, arrays of structs).
+
+    Shortlists of a block of queries are merged while the task holds them.
+    """
+
+    def nearest_in_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[pa.Array, np.ndarray, np.ndarray, pa.Table | None]] = {}
+        rows = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for ids, _, _, best in held.values():
+                if best is not None:
+                    yield from _emit(best, ids, names).to_batches()
+            held.clear()
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number = batch.column("query_block")[i].as_py()
+                if number not in held:
+                    asked = pa.Table.from_struct_array(batch.column("queries")[i].values)
+                    units = _unit_rows(asked.column(1))
+                    held[number] = asked.column(0).combine_chunks(), units, np.full(len(units), np.inf), None
+                ids, units, bound, best = held[number]
+                block = pa.Table.from_struct_array(batch.column("vectors")[i].values)
+                found = _shortlist(block, units, k, bound)
+                merged = _best(found if best is None else pa.concat_tables([best, found]), k, bound)
+                held[number] = ids, units, bound, merged
+                rows += merged.num_rows - (best.num_rows if best is not None else 0)
+                if rows > _HELD_ROWS:
+                    yield from flush()
+                    rows = 0
+        yield from flush()
+
+    return nearest_in_pairs
+
+
+def _by_blocks(
+    vectors: DataFrame, queries: DataFrame, query_bytes: int, k: int, schema: T.StructType, block_bytes: int, query_block_bytes: int
+) -> DataFrame:
+    """Shortlists of all pairs of blocks. Ids are unique, so their hashes give even blocks."""
+    id_col, vector_col = vectors.columns[:2]
+    vector_bytes = vectors.agg(F.sum(8 * F.size(vector_col).cast("long"))).first()[0] or 0
+    n_blocks, n_query_blocks = max(1, -(-vector_bytes // block_bytes)), max(1, -(-query_bytes // query_block_bytes))
+    blocks = (
+        vectors.groupBy(F.pmod(F.xxhash64(id_col), F.lit(n_blocks)).alias("block"))
+        .agg(F.collect_list(F.struct(*vectors.columns)).alias("vectors"))
+    )
+    query_blocks = (
+        queries.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(n_query_blocks)).alias("query_block"))
+        .agg(F.collect_list(F.struct(*queries.columns)).alias("queries"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+    )
+    pairs = blocks.hint("merge").join(query_blocks, "block").select("query_block", "queries", "vectors")
+    return pairs.mapInArrow(_scan_pairs(k, schema.names), schema)
+
+
 def _hit_schema(vectors: DataFrame, query_id_type: T.DataType) -> T.StructType:
     """query_id, the columns of ``vectors`` but the vector (its second), distance."""
     fields = vectors.schema.fields
@@ -148,9 +217,15 @@ def topk_batch(
     query_id_col: str = "query_id",
     query_vector_col: str = "embedding",
     max_query_bytes: int = MAX_QUERY_BYTES,
+    max_waves: int = MAX_WAVES,
+    block_bytes: int = BLOCK_BYTES,
+    query_block_bytes: int = QUERY_BLOCK_BYTES,
 ) -> DataFrame:
     """The k nearest vectors of every query: query_id, rank, id, ``keep``, distance.
 
+    At most ``max_waves`` x ``max_query_bytes`` of query vectors pass the driver, whatever
+    their number; a larger set is joined by blocks, and its shortlists are checkpointed.
+
     Distances are rounded to 12 digits and ties go to the smaller id, so the answer does
     not depend on the partitioning. A zero vector has no cosine: its distance is null and
     sorts last. Ids must be unique; null vectors take no part.
@@ -167,9 +242,13 @@ def topk_batch(
     spark = vectors.sparkSession
     found = None
     try:
-        size = staged.agg(F.sum(8 * F.size(query_vector_col))).first()[0] or 0
+        size = staged.agg(F.sum(8 * F.size(query_vector_col).cast("long"))).first()[0] or 0
         waves = max(1, -(-size // max_query_bytes))
-        wave_of = F.pmod(F.xxhash64("query_id"), F.lit(waves))
+        if waves > max_waves:
+            ensure_checkpoint_dir(spark)
+            found = _by_blocks(vectors, staged, size, k, schema, block_bytes, query_block_bytes).checkpoint()
+            waves = 0
+        wave_of = F.pmod(F.xxhash64("query_id"), F.lit(max(1, waves)))
         for wave in range(waves):
             held = (staged.filter(wave_of == wave) if waves > 1 else staged).toArrow()
             shared = spark.sparkContext.broadcast(_unit_rows(held.column(1)))

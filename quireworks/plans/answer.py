@@ -13,22 +13,21 @@ from quireworks.sources.store import CollectionStore
 
 # The partition columns travel with a hit: its text is then looked up in its own batch.
 _LOCATION = ("collection_id", "batch_id")
-# Up to so many batches are named to the scan that fetches the texts of hits.
-MAX_NAMED_BATCHES = 10_000
 
 
 def _with_texts(rows: DataFrame, hits: DataFrame, n_hits: int) -> DataFrame:
     """Fetch the texts of hits.
 
     The hits are checkpointed and the second scan gets their batch ids as a partition
-    filter, so it opens only those batches, however many hits there are. (Left to dynamic
-    pruning, the filter is dropped when the planner does not find the same broadcast again.)
+    filter, so it opens only those batches, however many hits there are. The driver lists
+    the collection's batches for any scan of it, so their names have room there. (Left to
+    dynamic pruning, the filter is dropped when the planner does not find the same broadcast
+    again.)
     """
     ensure_checkpoint_dir(hits.sparkSession)
     hits = hits.checkpoint()
-    named = hits.select("batch_id").distinct().limit(MAX_NAMED_BATCHES + 1).collect()
-    if len(named) <= MAX_NAMED_BATCHES:
-        rows = rows.filter(F.col("batch_id").isin([r.batch_id for r in named]))
+    named = [r.batch_id for r in hits.select("batch_id").distinct().collect()]
+    rows = rows.filter(F.col("batch_id").isin(named) if named else F.lit(False))
     return search_hits(hits, rows, [*_LOCATION, "uuid"], n_hits)
 
 

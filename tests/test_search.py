@@ -58,6 +58,28 @@ def test_waves_give_the_same_without_a_shuffle_of_vectors(spark):
     assert all("embedding" not in line for line in text.splitlines() if "Exchange" in line)
 
 
+@pytest.mark.parametrize("sizes", [(1, 1), (200, 24), (1 << 20, 1 << 20)])
+def test_blocks_give_the_same_and_queries_pass_no_driver(spark, monkeypatch, sizes):
+    collected = []
+    real = type(spark.range(1)).toArrow
+    monkeypatch.setattr(type(spark.range(1)), "toArrow", lambda df: collected.append(df) or real(df))
+    df = vectors(spark, ROWS).withColumn("tag", F.concat(F.lit("t"), "vec_id"))
+    for k in (1, 7, 100):
+        got = topk_batch(df, ask(spark, QUERIES), k, keep=["tag"], max_query_bytes=8, max_waves=2,
+                         block_bytes=sizes[0], query_block_bytes=sizes[1])
+        assert result(got) == brute_force(ROWS, QUERIES, k)
+        assert all(r.tag == f"t{r.vec_id}" for r in got.collect())
+    assert not collected
+    assert topk_batch(vectors(spark, []), ask(spark, QUERIES), 3, max_query_bytes=1, max_waves=0).count() == 0
+    assert topk_batch(vectors(spark, ROWS), ask(spark, []), 3, max_waves=0).count() == 0
+
+
+def test_held_shortlists_are_sent_on(spark, monkeypatch):
+    monkeypatch.setattr(search, "_HELD_ROWS", 3)
+    got = topk_batch(vectors(spark, ROWS), ask(spark, QUERIES), 7, max_waves=0, block_bytes=100, query_block_bytes=24)
+    assert result(got) == brute_force(ROWS, QUERIES, 7)
+
+
 def test_small_score_steps_and_batches(spark, monkeypatch):
     monkeypatch.setattr(search, "_SCORES_PER_STEP", 10)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
