@@ -506,3 +506,23 @@ def first_texts(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of all documents."""
     return near_duplicates(spread_table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + {SHINGLE - 1}], ' ') AS k
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {SHINGLE - 1}, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= {PERCENT} * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS c FROM documents
+  UNION SELECT reach.doc_id, b.y FROM reach JOIN both_ways b ON b.x = reach.c),
+least AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
+SELECT l.doc_id, coalesce(n.n, 0) AS n_shingles, l.component_id, l.doc_id = l.component_id AS kept
+FROM least l LEFT JOIN n USING (doc_id)"""

@@ -27,7 +27,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 CHECKS: dict[str, str] = {
+    "op3_near_dups": near_dups.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
+    "op5_repeats": repeats.OP5_SQL,
     "op9_fixity": fixity.OP9_SQL,
     "op11_negatives": negatives.OP11_SQL,
     "op13_centroids": centroids.OP13_SQL,

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quireworks.llm.common import as_bytes, map_batches, release, spread_table
 from quireworks.llm.words import mix
-from quireworks.session import materialize
+from quireworks.session import bucketed, materialize
 
 LENGTH = 100
 GRAM = 32
@@ -45,7 +45,8 @@ _powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 # Rows of the shuffles: a key of two hashes, the place (doc, at), and what the row is.
 ASK, KNOWN, SEVERAL, MARK = 0, 1, 2, 3
-ROWS = "a long, b long, doc long, at long, kind int"
+# Rows that need no others stand for several places of a text in ``more``.
+ROWS = "a long, b long, doc long, at long, kind int, more array<long>"
 
 
 def _tables() -> list[tuple[np.ndarray, np.ndarray]]:
@@ -145,13 +146,32 @@ def phrases(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
     return tuple(map(np.concatenate, zip(*out)))
 
 
-def _rows(a, b, doc, at, kind) -> pa.RecordBatch:
+def _rows(asked: tuple[np.ndarray, ...], local: tuple[np.ndarray, np.ndarray, int] | None = None) -> pa.RecordBatch:
+    """Rows of (a, b, doc, at, kind), and a row for each text of the (doc, at) of one kind that need no others."""
+    a, b, doc, at, kind = asked
+    offsets, values = np.zeros(len(a) + 1, np.int64), np.zeros(0, np.int64)
+    if local is not None and len(local[0]):
+        docs, places, which = local
+        order = np.lexsort((places & _CHECK, docs))
+        docs, values = docs[order], places[order]
+        heads = np.flatnonzero(np.diff(_groups(docs, values & _CHECK), prepend=-1))
+        spread = mix(docs[heads].view(np.uint64) ^ values[heads].view(np.uint64))
+        a, b = np.concatenate([a, spread]), np.concatenate([b, spread])
+        doc, at = np.concatenate([doc, docs[heads]]), np.concatenate([at, values[heads]])
+        kind = np.concatenate([kind, np.full(len(heads), which, np.int32)])
+        offsets = np.concatenate([offsets, np.append(heads[1:], len(values))])
     columns = [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x, pa.int64()) for x in (a, b, doc, at)]
+    more = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
     return pa.RecordBatch.from_arrays(
-        [*columns, pa.array(kind, pa.int32())], names=["a", "b", "doc", "at", "kind"]
+        [*columns, pa.array(kind, pa.int32()), more], names=["a", "b", "doc", "at", "kind", "more"]
     )
 
 
+def _places() -> Column:
+    """The places that a row stands for, one row each."""
+    return F.explode(F.when(F.size("more") > 0, F.col("more")).otherwise(F.array("at"))).alias("at")
+
+
 def _groups(*keys: np.ndarray) -> np.ndarray:
     """For sorted keys: number of the group of each row."""
     new = np.zeros(len(keys[0]), bool)
@@ -188,14 +208,16 @@ def _phrase_rows(length: int, gram: int) -> Callable[[pa.RecordBatch], pa.Record
         many = counts[same] > _MANY
         kind[heads[many]] = SEVERAL
         marks = keys[counts > _MANY]
-        local = kind != ASK
-        a = np.where(local, mix(at.astype(np.uint64) ^ doc.astype(np.uint64)), a)
-        zero = np.zeros(len(marks), np.int64)
-        return _rows(
-            np.concatenate([a, marks]), np.concatenate([b, zero.view(np.uint64)]),
-            np.concatenate([doc, zero]), np.concatenate([at, zero]),
-            np.concatenate([kind, np.full(len(marks), MARK, np.int32)]),
+        zero, asks = np.zeros(len(marks), np.int64), kind == ASK
+        asked = (
+            np.concatenate([a[asks], marks]), np.concatenate([b[asks], zero.view(np.uint64)]),
+            np.concatenate([doc[asks], zero]), np.concatenate([at[asks], zero]),
+            np.repeat(np.array([ASK, MARK], np.int32), [asks.sum(), len(marks)]),
         )
+        known, several = kind == KNOWN, kind == SEVERAL
+        return pa.concat_batches(
+            [_rows(asked, (doc[known], at[known], KNOWN)), _rows(tuple(x[:0] for x in asked), (doc[several], at[several], SEVERAL))]
+        )
 
     return work
 
@@ -251,13 +273,13 @@ def _middle_rows(length: int) -> Callable[[pa.RecordBatch], pa.RecordBatch | Non
         many = counts[group] > 1
         marks = np.flatnonzero(many & (np.diff(group, prepend=-1) > 0))
         key_a, key_b = a[marks], b[marks]
-        spread = mix(at.astype(np.uint64) ^ doc.astype(np.uint64))
-        zero = np.zeros(len(marks), np.int64)
-        return _rows(
-            np.concatenate([np.where(many, spread, a), key_a]), np.concatenate([b, key_b]),
-            np.concatenate([doc, zero]), np.concatenate([at, zero]),
-            np.concatenate([np.where(many, SEVERAL, ASK), np.full(len(marks), MARK)]).astype(np.int32),
+        zero, single = np.zeros(len(marks), np.int64), ~many
+        asked = (
+            np.concatenate([a[single], key_a]), np.concatenate([b[single], key_b]),
+            np.concatenate([doc[single], zero]), np.concatenate([at[single], zero]),
+            np.repeat(np.array([ASK, MARK], np.int32), [single.sum(), len(marks)]),
         )
+        return _rows(asked, (doc[many], at[many], SEVERAL))
 
     return work
 
@@ -294,13 +316,11 @@ def _window_rows(length: int) -> Callable[[pa.RecordBatch], pa.RecordBatch | Non
         t, s = np.repeat(t[new], pieces), np.repeat(s[new], pieces) + k * _MOST
         number = np.minimum(np.repeat(number, pieces) - k * _MOST, _MOST)
         at = place(s, number, 0 * s, checks[t])
-        spread = mix(at.astype(np.uint64) ^ docs[t].astype(np.uint64))
-        return _rows(
-            np.concatenate([a[asks], spread]), np.concatenate([b[asks], spread]),
-            np.concatenate([docs[text[asks]], docs[t]]),
-            np.concatenate([place(start[asks], 0 * asks + 1, 0 * asks, checks[text[asks]]), at]),
-            np.repeat(np.array([ASK, KNOWN], np.int32), [len(asks), len(t)]),
+        asked = (
+            a[asks], b[asks], docs[text[asks]], place(start[asks], 0 * asks + 1, 0 * asks, checks[text[asks]]),
+            np.full(len(asks), ASK, np.int32),
         )
+        return _rows(asked, (docs[t], at, KNOWN))
 
     return work
 
@@ -318,17 +338,22 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     )
     marks = _written(_judged_phrases(named, length, gram), "phrases")
     release(spark)
+    # Laid out once for the three joins that bring places to their texts.
+    texts = bucketed(named.withColumn("text_check", _text_check()), ["doc", "text_check"], "texts")
     unsettled = marks.filter(F.col("kind") == SEVERAL)
-    shared = _written(_shared_blocks(named, unsettled, length), "blocks")
+    shared = _written(_shared_blocks(texts, unsettled, length), "blocks")
     release(spark)
 
-    # The same exchange of texts serves both joins.
-    by_doc = named.repartition("doc")
-    windows = map_batches(_with_places(by_doc, shared), _window_rows(length), ROWS).withColumn("local", _local())
+    windows = map_batches(_with_places(texts, shared), _window_rows(length), ROWS, "text").withColumn("local", _local())
     same = Window.partitionBy("local", "a", "b").orderBy("doc", F.shiftright("at", 32))
     again = windows.withColumn("rank", F.rank().over(same)).filter((F.col("kind") == KNOWN) | (F.col("rank") > 1))
-    found = marks.filter(F.col("kind") == KNOWN).select("doc", "at").unionByName(again.select("doc", "at"))
-    return by_doc.join(_lists(found), "doc", "left")
+    found = marks.filter(F.col("kind") == KNOWN).select("doc", "at").unionByName(again.select("doc", _places()))
+    return texts.join(_lists(found), ["doc", "text_check"], "left")
+
+
+def _text_check() -> Column:
+    """What ``check_of`` gives."""
+    return F.crc32("text").bitwiseAND(F.lit(_CHECK))
 
 
 def _written(df: DataFrame, purpose: str) -> DataFrame:
@@ -341,17 +366,18 @@ def _local() -> Column:
 
 
 def _lists(places: DataFrame) -> DataFrame:
-    """The places of each document, as a list that is no longer than its text."""
-    return places.groupBy("doc").agg(F.collect_list("at").alias("places"))
+    """The places of each text, as a list that is no longer than it: texts of one id don't share a list."""
+    check = F.col("at").bitwiseAND(F.lit(_CHECK)).alias("text_check")
+    return places.select("doc", check, "at").groupBy("doc", "text_check").agg(F.collect_list("at").alias("places"))
 
 
 def _with_places(texts: DataFrame, places: DataFrame) -> DataFrame:
-    return texts.join(_lists(places), "doc").select("doc", "text", "places")
+    return texts.join(_lists(places), ["doc", "text_check"]).select("doc", "text", "places")
 
 
 def _judged_phrases(named: DataFrame, length: int, gram: int) -> DataFrame:
     """(doc, at, kind) of phrases that repeat (KNOWN) or share a trigger string (SEVERAL)."""
-    rows = map_batches(named, _phrase_rows(length, gram), ROWS).withColumn("local", _local())
+    rows = map_batches(named, _phrase_rows(length, gram), ROWS, "text").withColumn("local", _local())
     trigger = Window.partitionBy("local", "a")
     phrase = Window.partitionBy("local", "a", "b").orderBy("doc", F.shiftright("at", 32))
     judged = rows.withColumn("rank", F.rank().over(phrase)).withColumn(
@@ -362,16 +388,17 @@ def _judged_phrases(named: DataFrame, length: int, gram: int) -> DataFrame:
         F.when((F.col("kind") == KNOWN) | (ask & (F.col("rank") > 1)), KNOWN)
         .when((F.col("kind") == SEVERAL) | (ask & F.col("several")), SEVERAL)
     )
-    return judged.select("doc", "at", kind.alias("kind")).filter("kind IS NOT NULL")
+    kept = judged.withColumn("kind", kind).filter("kind IS NOT NULL")
+    return kept.select("doc", _places(), "kind")
 
 
-def _shared_blocks(named: DataFrame, unsettled: DataFrame, length: int) -> DataFrame:
+def _shared_blocks(texts: DataFrame, unsettled: DataFrame, length: int) -> DataFrame:
     """(doc, at) of blocks of the unsettled windows whose middles stand in more than one place."""
-    rows = map_batches(_with_places(named, unsettled), _middle_rows(length), ROWS).withColumn("local", _local())
+    rows = map_batches(_with_places(texts, unsettled), _middle_rows(length), ROWS, "text").withColumn("local", _local())
     middle = Window.partitionBy("local", "a", "b")
     judged = rows.withColumn("others", F.count(F.lit(1)).over(middle))
     shared = (F.col("kind") == SEVERAL) | ((F.col("kind") == ASK) & (F.col("others") > 1))
-    return judged.filter(shared).select("doc", "at")
+    return judged.filter(shared).select("doc", _places())
 
 
 def covered(size: int, places: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -400,7 +427,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
             runs = 0
             if places[i].is_valid:
                 own = places[i].values.to_numpy()
-                own = own[(own & _CHECK) == check_of(text)]
                 mask = covered(len(text), own, length)
                 gone = int(mask.sum())
                 runs = int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum())
@@ -420,9 +446,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
         )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return map_batches(repeats(docs, length, gram).select("doc", "text", "places"), work, schema)
+    return map_batches(repeats(docs, length, gram).select("doc", "text", "places"), work, schema, "text")
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of all documents."""
     return remove_repeats(spread_table(spark, sf_dir, "documents"), keep=False).drop("kept")
+
+
+OP5_SQL = f"""
+WITH t AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, {_NULL}) AS d, encode(coalesce(text, '')) AS b FROM documents),
+w AS MATERIALIZED (
+  SELECT r, d, p, md5(b[p + 1:p + {LENGTH}]) AS k
+  FROM (SELECT r, d, b, unnest(range(0, octet_length(b) - {LENGTH - 1})) AS p FROM t)),
+f AS (SELECT k, min({{'d': d, 'p': p}}) AS first FROM w GROUP BY k HAVING count(*) > 1),
+a AS (SELECT w.r, w.p FROM w JOIN f USING (k) WHERE {{'d': w.d, 'p': w.p}} > f.first),
+g AS (
+  SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS run
+  FROM (SELECT r, p, (coalesce(p - lag(p) OVER (PARTITION BY r ORDER BY p), {LENGTH + 1}) > {LENGTH})::INTEGER AS fresh FROM a)),
+runs AS (SELECT r, run, min(p) AS s, max(p) + {LENGTH} AS e FROM g GROUP BY r, run),
+cut AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS before FROM runs),
+kept AS (
+  SELECT t.r, count(*) AS n_spans, sum(e - s)::BIGINT AS n_removed,
+    string_agg(hex(t.b[before + 1:s]), '' ORDER BY s) || hex(t.b[max(e) + 1:]) AS h
+  FROM cut JOIN t USING (r) GROUP BY t.r, t.b)
+SELECT t.doc_id, octet_length(t.b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN h IS NULL THEN t.b ELSE unhex(h) END) AS kept_sha256
+FROM t LEFT JOIN kept USING (r)"""

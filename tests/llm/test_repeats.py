@@ -95,3 +95,18 @@ def test_long_texts_in_segments(documents, monkeypatch):
             assert (i, p) not in whole
             whole[i, p] = True
     assert len(whole) == sum(len(t) - 99 for t in texts)
+
+
+def test_places_grow_with_the_texts_and_not_their_square(documents):
+    """Texts without id, and texts of one id, don't carry each other's places."""
+    rng = random.Random(3)
+    passage = "".join(rng.choices("abcdefgh ", k=1500))
+
+    def places(count, doc_id):
+        rows = [(doc_id, "".join(rng.choices("abcdefgh ", k=40 + i)) + passage) for i in range(count)]
+        found = repeats.repeats(documents(rows)).collect()
+        assert len(found) == count
+        return sum(len(r.places or []) for r in found)
+
+    for doc_id in (None, 7):
+        assert places(80, doc_id) < 6 * places(20, doc_id)
