@@ -60,6 +60,18 @@ def materialize(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def bucketed(df: DataFrame, keys: list[str], purpose: str) -> DataFrame:
+    """Write rows to the scratch folder in buckets by keys, one for each shuffle partition, so
+    that several joins on these keys need not shuffle them again. Only the files are kept."""
+    spark = df.sparkSession
+    path, name = scratch_dir(spark, purpose), f"quireworks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def spread_over_cores(df: DataFrame) -> DataFrame:
     """Give every core a share of a small input before heavy work on its rows.
 
