@@ -3,7 +3,10 @@
 The neighbour graph of a bounded sample is cut into balanced partitions with few edges
 between them. A small classifier learns a vector's partition; it files every vector under
 its most probable partition and sends a query to several. What a query meets there is
-ranked by the exact cosine. Partitions are joined in blocks of bounded size.
+ranked by the exact cosine. Where partitions would grow large, each is cut again by a
+graph and a classifier of its own, fitted in a task, so that their number follows the
+rows. Every vector is shuffled into one packed block of its partition; only the queries,
+packed too, are copied to the blocks of the partitions they are sent to.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ SAMPLE = 5120  # distinct vectors that partitions and classifier are fitted on,
 HELD_OUT = 5  # one in so many of them only tells how many partitions to probe
 PER_PARTITION = 256  # vectors for each partition, up to PARTITIONS of them
 PARTITIONS = 32
+PER_SMALL = 16_384  # vectors for each part of a partition, up to PARTITIONS parts
+SMALL_SAMPLE = 2048  # distinct vectors of a partition that its parts are fitted on, at most
 RECALL = 0.95  # share of neighbours to be found in the held-out part of the sample
 NEIGHBOURS, HIDDEN, EPOCHS = 12, 128, 25
 BLOCK, QUERY_BLOCK = 4096, 1024
@@ -41,6 +46,41 @@ class Router:
         return np.maximum(unit @ self.first + self.bias, 0) @ self.second + self.last
 
 
+def _log_shares(scores: np.ndarray) -> np.ndarray:
+    most = scores.max(1, keepdims=True)
+    return scores - most - np.log(np.exp(scores - most).sum(1, keepdims=True))
+
+
+@dataclass(frozen=True)
+class Routers:
+    """A router to partitions and, where these are cut again, one of each to its parts."""
+
+    first: Router
+    second: tuple[Router, ...] = ()
+
+    @property
+    def parts(self) -> int:
+        """Parts of each partition."""
+        return len(self.second[0].last) if self.second else 1
+
+    def filed(self, unit: np.ndarray) -> np.ndarray:
+        """The most probable part in the most probable partition of each row."""
+        own = self.first.scores(unit).argmax(1)
+        out = own * self.parts
+        for p in np.unique(own) if self.second else ():
+            rows = own == p
+            out[rows] += self.second[p].scores(unit[rows]).argmax(1)
+        return out
+
+    def scores(self, unit: np.ndarray) -> np.ndarray:
+        """Logarithms of the parts' probabilities."""
+        first = _log_shares(self.first.scores(unit))
+        if not self.second:
+            return first
+        inner = np.stack([_log_shares(router.scores(unit)) for router in self.second], axis=1)
+        return (first[:, :, None] + inner).reshape(len(unit), -1)
+
+
 def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -132,10 +172,9 @@ def fit_router(unit: np.ndarray, label: np.ndarray, parts: int, hidden: int = HI
     return Router(w[0] * np.sqrt(width), w[1], w[2], w[3])
 
 
-def partitions_to_probe(router: Router, unit: np.ndarray, held: np.ndarray, k: int, recall: float) -> int:
-    """The fewest partitions that hold a share ``recall`` of the held-out rows' neighbours."""
-    scores = router.scores(unit)
-    own, routes = scores.argmax(1), np.argsort(-scores[held], axis=1, kind="stable")
+def partitions_to_probe(router: Routers, unit: np.ndarray, held: np.ndarray, k: int, recall: float) -> int:
+    """The fewest parts that hold a share ``recall`` of the held-out rows' neighbours."""
+    own, routes = router.filed(unit), np.argsort(-router.scores(unit[held]), axis=1, kind="stable")
     near = unit[held] @ unit.T
     near[np.arange(len(near)), np.flatnonzero(held)] = -2
     wanted = own[np.argsort(-near, axis=1, kind="stable")[:, :k]]
@@ -144,11 +183,11 @@ def partitions_to_probe(router: Router, unit: np.ndarray, held: np.ndarray, k: i
     return int(np.searchsorted(found, recall - 1e-12)) + 1
 
 
-def usable(vector: Column, width: int | None = None) -> Column:
-    """Not null, all components finite, not all zero (and of one width)."""
+def usable(vector: Column) -> Column:
+    """Not null, all components finite, not all zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
-    return F.coalesce(good if width is None else good & (F.size(vector) == width), F.lit(False))
+    return F.coalesce(good, F.lit(False))
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
@@ -157,127 +196,179 @@ def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def _nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple]:
-    """(query, vector, score) of the k nearest rows of each query, ties to smaller ids.
+    """(query, vector, score) of the k nearest ids of each query, ties to smaller ids.
 
-    Of equal rows only the k + 1 smallest ids can be among them. Products choose who may
-    be; scores are then computed pair by pair, the same wherever a pair meets.
+    Products choose who may be; scores are then computed pair by pair, the same wherever a
+    pair meets. An id of several vectors counts by the nearest.
     """
-    order = np.argsort(ids, kind="stable")
-    rows, ids = rows[order], ids[order]
-    same = np.unique(rows, axis=0, return_inverse=True)[1].ravel()
-    grouped = np.argsort(same, kind="stable")
-    starts = np.flatnonzero(np.diff(same[grouped], prepend=-1))
-    rank = np.arange(len(same)) - np.repeat(starts, np.diff(np.append(starts, len(same))))
-    kept = np.sort(grouped[rank <= k])
-    rows, ids = rows[kept], ids[kept]
     norms = np.sqrt((rows * rows).sum(1))
     own_norms = np.sqrt((queries * queries).sum(1))
+    enough = k * int(np.unique(ids, return_counts=True)[1].max(initial=1))
     out = []
     near = queries @ rows.T / own_norms[:, None] / norms
     for i, query in enumerate(query_ids):
         others = near[i]
         others[ids == query] = -np.inf
-        if len(others) > k:
-            least = np.partition(others, len(others) - k)[len(others) - k]
+        if len(others) > enough:
+            least = np.partition(others, len(others) - enough)[len(others) - enough]
             at = np.flatnonzero(others >= least - 1e-9)
         else:
             at = np.arange(len(others))
         at = at[others[at] > -np.inf]
         scores = (rows[at] * queries[i]).sum(1) / (own_norms[i] * norms[at])
-        for j in np.lexsort((ids[at], -scores))[:k]:
-            out.append((query, ids[at[j]], scores[j]))
+        found: dict[int, float] = {}
+        for j in np.lexsort((ids[at], -scores)):
+            found.setdefault(int(ids[at[j]]), float(scores[j]))
+            if len(found) == k:
+                break
+        out += [(int(query), vec_id, score) for vec_id, score in found.items()]
     return out
 
 
+def fit_routers(unit: np.ndarray, parts: int) -> Router:
+    return fit_router(unit, balanced_partition(unit, neighbour_graph(unit), parts), parts)
+
+
+def _second_routers(filed: DataFrame, parts: int, width: int) -> tuple[Router, ...]:
+    """A router for each partition of ``filed`` (part, v), fitted in tasks on bounded samples."""
+    names = ("first", "bias", "second", "last")
+    first = Window.partitionBy("part").orderBy("h", "v")
+    sample = filed.select("part", "v").distinct().withColumn("h", F.xxhash64("v"))
+    sample = sample.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= SMALL_SAMPLE)
+
+    def fit(group: pa.Table) -> pa.Table:
+        unit = unit_rows(_matrix(group["v"], width))
+        router = fit_routers(unit, parts) if len(unit) >= 2 * parts else _constant(width, parts)
+        return pa.table(
+            {"part": group["part"][:1], **{n: pa.array([getattr(router, n).ravel().tolist()], pa.list_(pa.float64())) for n in names}}
+        )
+
+    schema = "part int, " + ", ".join(f"{n} array<double>" for n in names)
+    # At most PARTITIONS networks of some hundred kilobytes.
+    found = {row["part"]: row for row in sample.groupBy("part").applyInArrow(fit, schema).collect()}
+
+    def router(p: int) -> Router:
+        if p not in found:
+            return _constant(width, parts)
+        w = [np.array(found[p][n]) for n in names]
+        return Router(w[0].reshape(width, -1), w[1], w[2].reshape(-1, parts), w[3])
+
+    return tuple(map(router, range(PARTITIONS)))
+
+
+def _constant(width: int, parts: int) -> Router:
+    """Everything to the first part."""
+    return Router(np.zeros((width, 1)), np.zeros(1), np.zeros((1, parts)), -np.arange(parts, dtype=float))
+
+
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, by cosine.
 
-    ``vectors`` has (vec_id, embedding). Rows with a null id, with a null, zero or not finite
-    vector, or of another width than most, take no part. Rows of the query's own id are no
-    candidates; rows that repeat other ids are candidates each. The number of partitions
-    probed is the smallest that reaches ``recall`` on held-out rows of the sample: few
-    where vectors lie in clusters, most where they don't. A query is sent to more where
-    those hold too few rows. An empty table gives no rows.
+    ``vectors`` has (vec_id, embedding). Rows with a null id or a null, zero or not finite
+    vector take no part; vectors meet those of their own width. An id is found once:
+    equal rows count as one, and of several vectors under an id the nearest counts. Several
+    vectors under a query's id are asked each, and its answer is the best of all. The
+    query's own id is no candidate. The number of parts probed is the smallest that reaches
+    ``recall`` on held-out rows of the sample: few where vectors lie in clusters, most
+    where they don't. A query is sent to more where those hold too few rows. An empty
+    table gives no rows.
     """
-    spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     base = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"), is_query.alias("q"))
-    base = base.filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    widths = base.groupBy(F.size("v").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    if widths is None:
-        return empty
-    width, n = widths["width"], widths["count"]
-    base = base.filter(F.size("v") == width)
+    base = base.filter(F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("q", F.coalesce("q", F.lit(False)))
+    counts = base.groupBy(F.size("v").alias("width")).count().collect()
+    met = None
+    for row in sorted(counts, key=lambda r: r["width"]):
+        own = _met(base.filter(F.size("v") == row["width"]), row["width"], row["count"], k, recall)
+        met = own if met is None else met.unionByName(own)
+    if met is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _met(base: DataFrame, width: int, n: int, k: int, recall: float) -> DataFrame:
+    """(query_id, vec_id, score) of what queries meet among vectors of one width."""
+    # Of equal vectors only the k + 1 smallest ids can be among the nearest of a query.
+    same = Window.partitionBy("v").orderBy("vec_id")
+    distinct = base.groupBy("vec_id", "v").agg(F.max("q").alias("q"))
+    ranked = distinct.withColumn("place", F.row_number().over(same))
     sample = base.groupBy("v").agg(F.min(F.xxhash64("vec_id")).alias("h")).orderBy("h", "v").limit(SAMPLE)
     unit = unit_rows(np.array([row["v"] for row in sample.collect()]))
     parts = max(1, min(PARTITIONS, n // PER_PARTITION, len(unit) // 32))
-    wanted = 1
-    if parts > 1:
-        held = np.arange(len(unit)) % HELD_OUT == 0
-        fitted = unit[~held]
-        router = fit_router(fitted, balanced_partition(fitted, neighbour_graph(fitted), parts), parts)
-        wanted = min(parts, partitions_to_probe(router, unit, held, k, recall))
-    else:
-        router = Router(np.zeros((width, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
-
-    def file(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = router.scores(unit_rows(_matrix(batch.column(1), width)))
-        order = np.argsort(-scores, axis=1, kind="stable").astype(np.int32)
-        queries = batch.column(2).to_pylist()
-        routes = [row.tolist() if q else None for row, q in zip(order, queries)]
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(order[:, 0]), pa.array(routes, pa.list_(pa.int32()))],
-            names=["vec_id", "v", "q", "part", "routes"],
-        )
+    held = np.arange(len(unit)) % HELD_OUT == 0
+    routers = Routers(fit_routers(unit[~held], parts) if parts > 1 else _constant(width, 1))
+
+    def file(routers: Routers, queries_too: bool) -> DataFrame:
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = unit_rows(_matrix(batch.column(1), width))
+            routes: list[list[int] | None] = [None] * len(rows)
+            asked = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False)) if queries_too else []
+            if len(asked):
+                order = np.argsort(-routers.scores(rows[asked]), axis=1, kind="stable")
+                for i, row in zip(asked, order.tolist()):
+                    routes[i] = row
+            own = pa.array(routers.filed(rows).astype(np.int32))
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns, own, pa.array(routes, pa.list_(pa.int32()))], names=["vec_id", "v", "q", "place", "part", "routes"]
+            )
+
+        schema = "vec_id long, v array<double>, q boolean, place int, part int, routes array<int>"
+        return map_batches(ranked, run, schema)
 
-    schema = "vec_id long, v array<double>, q boolean, part int, routes array<int>"
-    filed = map_batches(base, file, schema).checkpoint()
-    sizes = dict.fromkeys(range(parts), 0) | {r["part"]: r["count"] for r in filed.groupBy("part").count().collect()}
+    small = max(1, min(PARTITIONS, n // (parts * PER_SMALL)))
+    if small > 1:
+        routers = Routers(routers.first, _second_routers(file(routers, False), small, width)[:parts])
+    leaves = parts * small
+    wanted = min(leaves, partitions_to_probe(routers, unit, held, k, recall)) if leaves > 1 else 1
+    filed = file(routers, True).checkpoint()
+    candidates = filed.filter(F.col("place") <= k + 1)
+
+    sizes = dict.fromkeys(range(leaves), 0) | {r["part"]: r["count"] for r in candidates.groupBy("part").count().collect()}
     blocks = {p: max(1, -(-size // BLOCK)) for p, size in sizes.items()}
-    table_of = F.array(*(F.lit(sizes[p]) for p in range(parts)))
+    table_of = F.array(*(F.lit(sizes[p]) for p in range(leaves)))
 
-    # The probed partitions; more until they hold k rows besides the query.
-    held = F.transform(
-        F.sequence(F.lit(1), F.lit(parts)),
+    # The probed parts; more until they hold k rows besides the query.
+    held_there = F.transform(
+        F.sequence(F.lit(1), F.lit(leaves)),
         lambda i: F.aggregate(F.slice("routes", 1, i), F.lit(0).cast("long"), lambda s, p: s + F.element_at(table_of, p + 1)),
     )
-    enough = F.size(F.filter(held, lambda s: s <= k)) + 1
+    enough = F.size(F.filter(held_there, lambda s: s <= k)) + 1
     routed = filed.filter("q").select(
-        F.col("vec_id").alias("query_id"), "v", F.explode(F.slice("routes", 1, F.least(F.greatest(enough, F.lit(wanted)), F.lit(parts)))).alias("part")
-    )
+        F.col("vec_id").alias("query_id"), "v",
+        F.explode(F.slice("routes", 1, F.least(F.greatest(enough, F.lit(wanted)), F.lit(leaves)))).alias("part"),
+    )
     asked = {r["part"]: r["count"] for r in routed.groupBy("part").count().collect()}
-    turns = {p: max(1, -(-asked.get(p, 0) // QUERY_BLOCK)) for p in range(parts)}
+    turns = {p: max(1, -(-asked.get(p, 0) // QUERY_BLOCK)) for p in range(leaves)}
 
     def per_part(values: dict[int, int]) -> Column:
-        return F.element_at(F.array(*(F.lit(values[p]) for p in range(parts))), F.col("part") + 1)
-
-    def upto(count: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), count - 1))
-
-    queries = routed.withColumn("turn", F.pmod(F.xxhash64("query_id"), per_part(turns)).cast("int")).withColumn(
-        "block", upto(per_part(blocks))
-    )
-    rows = filed.withColumn("block", F.pmod(F.xxhash64("vec_id"), per_part(blocks)).cast("int")).select(
-        "part", "block", upto(per_part(turns)).alias("turn"), "vec_id", "v"
-    )
+        return F.element_at(F.array(*(F.lit(values[p]) for p in range(leaves))), F.col("part") + 1)
 
-    def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        if left.num_rows and right.num_rows:
-            found = _nearest(
-                _matrix(left["v"], width), left["query_id"].to_numpy(), _matrix(right["v"], width), right["vec_id"].to_numpy(), k
-            )
-        columns = list(zip(*found)) or [[], [], []]
-        kinds = [pa.int64(), pa.int64(), pa.float64()]
-        return pa.table({name: pa.array(c, t) for name, c, t in zip(("query_id", "vec_id", "score"), columns, kinds)})
-
-    met = (
-        queries.select("part", "block", "turn", "query_id", "v").groupBy("part", "block", "turn")
-        .cogroup(rows.groupBy("part", "block", "turn"))
-        .applyInArrow(rank, "query_id long, vec_id long, score double")
+    queries = (
+        routed.groupBy("part", F.pmod(F.xxhash64("query_id", "v"), per_part(turns)).alias("turn"))
+        .agg(F.collect_list(F.struct("query_id", "v")).alias("queries"))
+        .select("part", "queries", F.explode(F.sequence(F.lit(0), per_part(blocks) - 1)).alias("block"))
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    packed = (
+        candidates.groupBy("part", F.pmod(F.xxhash64("vec_id", "v"), per_part(blocks)).cast("int").alias("block"))
+        .agg(F.collect_list(F.struct("vec_id", "v")).alias("rows"))
+    )
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                left, right = (pa.Table.from_struct_array(batch.column(c)[i].values) for c in (0, 1))
+                found = _nearest(
+                    _matrix(left["v"], width), left["query_id"].to_numpy(), _matrix(right["v"], width), right["vec_id"].to_numpy(), k
+                )
+                columns = list(zip(*found)) or [[], [], []]
+                kinds = [pa.int64(), pa.int64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "vec_id", "score"]
+                )
+
+    pairs = queries.join(packed, ["part", "block"]).select("queries", "rows")
+    return pairs.mapInArrow(rank, "query_id long, vec_id long, score double")
 
 
 def exact_neighbours(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int = 5) -> list[tuple]:
