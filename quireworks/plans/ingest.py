@@ -32,10 +32,14 @@ from quireworks.sources.files import (
     page_rows,
     read_files,
 )
+from quireworks.sources.listing import with_contents
 from quireworks.sources.store import CollectionStore, Ledger
 
 # Fixed value: files per batch of the main ingest.
 FILES_PER_BATCH = 50
+# Files of all the batches that are decoded, embedded and published together, about.
+WAVE_FILES = 10_000
+_BATCH = "batch_no"  # the batch of a wave that a page comes from
 
 
 @dataclass(frozen=True)
@@ -59,7 +63,11 @@ def publications(df: DataFrame) -> DataFrame:
     an empty one; page_no only orders the pages of a title and may be missing."""
     title = publication_title(df)
     page_no = F.col("page_no").cast("long") if "page_no" in df.columns else F.lit(0).cast("long")
-    return df.select(title.alias("title"), page_no.alias("page_no"), "content")
+    return df.select(*_batch_column(df), title.alias("title"), page_no.alias("page_no"), "content")
+
+
+def _batch_column(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == _BATCH]
 
 
 def hashed_chunks(
@@ -71,7 +79,7 @@ def hashed_chunks(
 ) -> DataFrame:
     """Publications to chunks with their hash, without any shuffle."""
     chunks = chunk_documents(publications(df), size, overlap, separators, clean_first)
-    return chunks.select(*CHUNK_ORDER, "content", content_hash(F.col("content")).alias("content_hash"))
+    return chunks.select(*_batch_column(chunks), *CHUNK_ORDER, "content", content_hash(F.col("content")).alias("content_hash"))
 
 
 def stored_rows(chunks: DataFrame, collection: str, dedupe: bool, batch_id: str = "") -> DataFrame:
@@ -135,17 +143,46 @@ def insert_publications(
     the rows, see ``CollectionStore.append``.
     """
     batch_id = batch_id or uuid.uuid4().hex
+    ((new, total),) = _insert(df, store, collection, model, batch_id, dedupe, keys, **chunking).values() or ((0, 0),)
+    return IngestResult(batch_id, new, total - new)
+
+
+def _insert(
+    df: DataFrame,
+    store: CollectionStore,
+    collection: str,
+    model: Model,
+    batch_id: str,
+    dedupe: bool = True,
+    keys: DataFrame | None = None,
+    **chunking,
+) -> dict[int | None, tuple[int, int]]:
+    """Insert publications; new and all chunks for each ``batch_no`` (None, without that column).
+
+    Of equal chunks that of the first batch is kept.
+    """
     with staged_rows(hashed_chunks(df, **chunking), "chunks") as staged:
-        total = staged.count()
+        by = _batch_column(staged)
+        count = F.count(F.lit(1)).alias("n")
+        total = {(row[0] if by else None): row["n"] for row in staged.groupBy(*by).agg(count).collect()}
         if dedupe:
             with store.known_hashes(staged, collection, without_batch=batch_id) as known:
-                rows = stored_rows(drop_known(first_seen(staged), known), collection, dedupe)
+                fresh = first_seen(staged, order=[*by, *CHUNK_ORDER])
+                rows = stored_rows(drop_known(fresh, known), collection, dedupe)
                 store.append(embed_documents(rows, model), collection, batch_id, keys)
         else:
             rows = stored_rows(staged, collection, dedupe, batch_id)
             store.append(embed_documents(rows, model), collection, batch_id, keys)
-        new = store.batch_count(collection, batch_id)
-        return IngestResult(batch_id, new, total - new)
+        if by and dedupe:
+            firsts = staged.groupBy("content_hash").agg(F.min(_BATCH).alias(_BATCH))
+            stored = store.batch_rows(collection, batch_id).select("content_hash")
+            counted = firsts.join(stored, "content_hash", "left_semi").groupBy(_BATCH).agg(count)
+            new = {row[0]: row["n"] for row in counted.collect()}
+        elif by:
+            new = total
+        else:
+            new = {None: store.batch_count(collection, batch_id)}
+        return {n: (new.get(n, 0), t) for n, t in total.items()}
 
 
 def store_documents(
@@ -251,23 +288,56 @@ def ingest_files_in_batches(
     model: Model,
     files_per_batch: int = FILES_PER_BATCH,
     glob: str = PDF_GLOB,
-    **options,
+    wave_files: int = WAVE_FILES,
+    failures: str | None = None,
+    dedupe: bool = True,
+    **chunking,
 ) -> list[IngestResult]:
-    """Files that the ledger does not hold, ``files_per_batch`` (or one) at a time.
-
-    The listing is filtered before any file is opened, and a batch opens its own files
-    only. A path enters the ledger after its rows are in the store; a file that failed to
-    decode does not, so the next run tries it again.
+    """Files that the ledger does not hold, in batches of ``files_per_batch`` (or one); a
+    result for each batch.
+
+    The listing is filtered before any file is opened. The batch is a column: all batches
+    of some ``wave_files`` files are decoded, embedded and published together, so that the
+    number of jobs does not follow the number of batches, and no file name passes the
+    driver. A path is published with the rows of its wave; a file that failed to decode is
+    not, so the next run tries it again.
     """
     listed = list_files(spark, path, glob).select("path")
-    plan = assign_batches(new_files(listed, ledger.read()), ["path"], files_per_batch).persist()
+    plan = assign_batches(new_files(listed, ledger.finished(store, collection)), ["path"], files_per_batch)
+    last = plan.agg(F.max(_BATCH)).first()[0] or 0
+    step = max(1, wave_files // files_per_batch)
+    results = []
+    for start in range(1, last + 1, step):
+        numbers = range(start, min(start + step, last + 1))
+        wave = plan.filter(F.col(_BATCH).between(numbers[0], numbers[-1])).select("path", _BATCH)
+        with staged_rows(decode_pages(with_contents(wave), decoder), "pages") as pages:
+            results += _insert_wave(pages, numbers, ledger, store, collection, model, failures, dedupe, **chunking)
+        ledger.settle(store, collection)
+    return results
+
+
+def _insert_wave(
+    pages: DataFrame,
+    numbers: Sequence[int],
+    ledger: Ledger,
+    store: CollectionStore,
+    collection: str,
+    model: Model,
+    failures: str | None,
+    dedupe: bool,
+    **chunking,
+) -> list[IngestResult]:
+    """Insert the pages of a wave; a result for each of its batches."""
+    wave_id = uuid.uuid4().hex
+    failed = pages.filter(F.col("error").isNotNull())
+    n_failed = {row[0]: row["count"] for row in failed.groupBy(_BATCH).count().collect()}
+    if failures is not None:
+        failed.select("source", "error").write.mode("overwrite").parquet(f"{failures}/batch_id={wave_id}")
+    good = pages.filter(F.col("error").isNull())
+    keys = ledger.entries(good.select(F.col("source").alias(ledger.key)))
+    counts = _insert(page_rows(good), store, collection, model, wave_id, dedupe, keys, **chunking)
     results = []
-    last = plan.agg(F.max("batch_no")).first()[0] or 0
-    for number in range(1, last + 1):
-        # At most files_per_batch names; the reader needs them to open nothing else.
-        names = [r.path for r in plan.filter(F.col("batch_no") == number).collect()]
-        with staged_rows(decode_pages(read_files(spark, names, glob), decoder), "pages") as pages:
-            results.append(insert_decoded(pages, store, collection, model, **options))
-            ledger.commit(pages.filter(F.col("error").isNull()).select(F.col("source").alias("path")))
-    plan.unpersist()
+    for n in numbers:
+        new, total = counts.get(n, (0, 0))
+        results.append(IngestResult(f"{wave_id}.{n}", new, total - new, n_failed.get(n, 0)))
     return results

@@ -26,8 +26,15 @@ from quireworks.sources.files import (
     text_files,
     utf8_pages,
 )
+from quireworks.sources.listing import write_files
 from quireworks.sources.store import CollectionStore, Ledger
-from quireworks.streaming.ingest import file_stream, ingest_file_stream, ingest_page_stream, page_stream
+from quireworks.streaming.ingest import (
+    file_stream,
+    ingest_file_stream,
+    ingest_page_stream,
+    ingest_pages_by_state,
+    page_stream,
+)
 
 COLLECTION = "papers"
 MODEL = hashed_words()
@@ -198,15 +205,13 @@ def _written_files(documents, spark):
     """Documents as files on the shared file system, one ``.txt`` each below a folder that
     names the source and the document."""
     root = scratch_dir(spark, "files")
-    _write_files(documents, spark, root)
+    _write_files(documents, root)
     return root
 
 
-def _write_files(documents, spark, root):
-    # A given number of partitions, or adaptive execution leaves all files to one task.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    named = documents.select("source", "doc_id", "text").repartition(tasks, "doc_id")
-    named.write.mode("append").partitionBy("source", "doc_id").text(root)
+def _write_files(documents, root):
+    path = F.concat(F.lit(f"{root}/source="), "source", F.lit("/doc_id="), "doc_id", F.lit("/text.txt"))
+    write_files(documents.select(path.alias("path"), F.concat("text", F.lit("\n")).alias("content")))
 
 
 def _from_path(path: str):
@@ -269,7 +274,7 @@ def ingest_batches(spark, folder):
     ledger = Ledger(spark, scratch_dir(spark, "ledger"))
     root = scratch_dir(spark, "files")
     for delivery in _two_deliveries(spark, folder):
-        _write_files(delivery, spark, root)
+        _write_files(delivery, root)
         ingest_files_in_batches(
             spark, root, utf8_pages(), ledger, store, COLLECTION, MODEL, 400, glob=TXT_GLOB
         )
@@ -308,35 +313,55 @@ def ingest_two_streams(spark, folder):
 @query(
     "odd_file_names",
     """SELECT doc_id, 'a[1] {x} *? ' || doc_id || '.txt' AS file_name,
-              CASE WHEN doc_id % 3 = 0 THEN '' ELSE text || chr(10) END AS content
-       FROM documents WHERE text NOT LIKE '%' || chr(13) || '%'""",
+              CASE WHEN doc_id % 3 = 0 THEN '' ELSE coalesce(text, '') END AS content
+       FROM documents""",
 )
 def odd_file_names(spark, folder):
-    """Files with pattern characters in their names, every third one empty, read by exact names."""
+    """Files with pattern characters in their names, every third one empty."""
     root = scratch_dir(spark, "files")
-    docs = table(spark, folder, "documents").filter(~F.contains("text", F.lit("\r")))
-    _write_named(docs, spark, root)
-    names = [r.path for r in list_files(spark, root, TXT_GLOB).select("path").collect()]
-    files = read_files(spark, names, TXT_GLOB)
+    path = F.concat(F.lit(f"{root}/a[1] {{x}} *? "), "doc_id", F.lit(".txt"))
+    content = F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.coalesce("text", F.lit("")))
+    write_files(table(spark, folder, "documents").select(path.alias("path"), content.alias("content")))
+    files = read_files(spark, [root], TXT_GLOB)
     name = F.substring_index("path", "/", -1)
     doc_id = F.regexp_extract(name, r"(\d+)\.txt$", 1).cast("long")
     return files.select(doc_id.alias("doc_id"), name.alias("file_name"), F.col("content").cast("string").alias("content"))
 
 
-def _write_named(docs, spark, root):
-    """Files of given names, written by the tasks through Spark's text writer and renamed."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    text = F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("text"))
-    docs.select("doc_id", text.alias("text")).filter("text IS NOT NULL").repartition(8, "doc_id").write.partitionBy("doc_id").text(f"{root}/_all")
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(conf)
-    for row in docs.select("doc_id").collect():
-        name = jvm.org.apache.hadoop.fs.Path(root, f"a[1] {{x}} *? {row.doc_id}.txt")
-        if row.doc_id % 3 == 0:
-            fs.create(name).close()
-        else:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{root}/_all/doc_id={row.doc_id}")
-            part = next(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part"))
-            fs.rename(part, name)
+@query(
+    "file_stream_report",
+    """SELECT source, doc_id, CASE WHEN doc_id % 3 = 0 THEN 0 ELSE strlen(text) + 1 END AS length,
+              1::BIGINT AS n_pages, (doc_id % 3 = 0)::BIGINT AS n_blank
+       FROM documents""",
+)
+def file_stream_report(spark, folder):
+    """A stream of files, every third one without bytes: what it reports of each."""
+    store, report = _store(spark), scratch_dir(spark, "report")
+    documents = table(spark, folder, "documents")
+    root = _written_files(documents.filter("doc_id % 3 <> 0"), spark)
+    empty = F.concat(F.lit(f"{root}/source="), "source", F.lit("/doc_id="), "doc_id", F.lit("/text.txt"))
+    write_files(documents.filter("doc_id % 3 = 0").select(empty.alias("path"), F.lit("").alias("content")))
+    stream = file_stream(spark, root, files_per_trigger=2000, glob=TXT_GLOB)
+    ingest_file_stream(
+        stream, utf8_pages(), store, COLLECTION, MODEL, scratch_dir(spark, "offsets"), report=report
+    ).awaitTermination()
+    found = spark.read.parquet(report)
+    return found.select(*_from_path("source"), "length", "n_pages", "n_blank")
+
+
+@query("ingest_stream_state", _ALL_CHUNKS)
+def ingest_stream_state(spark, folder):
+    """The same by the stream's own state of known hashes; the second run resumes it."""
+    store = _store(spark)
+    root, checkpoint = scratch_dir(spark, "pages"), scratch_dir(spark, "offsets")
+    for delivery in _two_deliveries(spark, folder):
+        files = delivery.select(
+            F.col("source").alias("title"), F.col("doc_id").alias("page_no"), F.col("text").alias("content")
+        )
+        files.write.mode("append").parquet(root)
+        stream = page_stream(spark, root, files_per_trigger=100)
+        ingest_pages_by_state(stream, store, COLLECTION, MODEL, checkpoint).awaitTermination()
+    return store.rows(COLLECTION).select("content_hash", "document")
 
 
 @query("ingest_file_stream", _ALL_CHUNKS)

@@ -134,21 +134,18 @@ def rag_context(spark, folder):
 
 
 def prompt_sql(context: str, question: str) -> str:
-    """The prompt text, line by line."""
-    indent = "'        '"
-    lines = [
-        "''",
-        f"{indent} || 'Based on the following research findings, answer the student''s question:'",
-        "''",
-        f"{indent} || 'Research Context:'",
-        f"{indent} || {context}",
-        "''",
-        f"{indent} || 'Researcher''s Question: ' || {question}",
-        "''",
-        f"{indent} || 'Answer: Provide a comprehensive answer based on the findings above.'",
-        indent,
-    ]
-    return " || chr(10) || ".join(lines)
+    """The prompt text of operators.prompts as SQL."""
+    # Fixed value: the prompt text, line breaks and indents included.
+    return f"""'
+        Based on the following research findings, answer the student''s question:
+
+        Research Context:
+        ' || {context} || '
+
+        Researcher''s Question: ' || {question} || '
+
+        Answer: Provide a comprehensive answer based on the findings above.
+        '"""
 
 
 @query(

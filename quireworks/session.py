@@ -77,8 +77,11 @@ def spread_over_cores(df: DataFrame) -> DataFrame:
 
     A file is split no finer than its row groups, so a small table may sit in one task.
     Only an input of less than one full split per core is redistributed: the shuffle is
-    bounded by the size of the cluster and a large table is left as it is read.
+    bounded by the size of the cluster and a large table is left as it is read. So is a
+    stream, whose size nobody knows.
     """
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(

@@ -155,11 +155,14 @@ class CollectionStore:
     def count(self, name: str) -> int:
         return self.rows(name).count()
 
-    def batch_count(self, name: str, batch_id: str) -> int:
+    def batch_rows(self, name: str, batch_id: str) -> DataFrame:
         path = f"{self._current(self.collection_id(name))[1]}/batch_id={batch_id}"
         if not path_exists(self.spark, path):
-            return 0
-        return self.spark.read.schema("uuid string").parquet(path).count()
+            return self.spark.createDataFrame([], _ROW_FIELDS)
+        return self.spark.read.schema(_ROW_FIELDS).parquet(path)
+
+    def batch_count(self, name: str, batch_id: str) -> int:
+        return self.batch_rows(name, batch_id).count()
 
     def append(self, rows: DataFrame, name: str, batch_id: str, keys: DataFrame | None = None) -> None:
         """Add one batch, and with it the ``keys`` (kind, key) of the work that it finishes.

@@ -101,3 +101,40 @@ def test_stored_hashes_are_not_shuffled_whatever_the_batch(spark, small, store):
     (scan,) = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
     assert join < scan and not any("Exchange" in line for line in lines[join:scan])
     assert "Exchange hashpartitioning(hash" in "".join(lines[scan:])
+
+
+def test_jobs_of_an_ingest_do_not_follow_the_batches(spark, store, tmp_path):
+    """One wave decodes and writes all batches, whatever the number of files in each."""
+    from quireworks.plans.ingest import ingest_files_in_batches
+    from quireworks.sources.files import utf8_pages
+    from quireworks.sources.store import Ledger
+
+    (tmp_path / "in").mkdir()
+    for i in range(40):
+        (tmp_path / "in" / f"{i}.txt").write_text(f"text {i}")
+    tracker, jobs = spark.sparkContext.statusTracker(), {}
+    for per_batch in (1, 40):
+        spark.sparkContext.setJobGroup(f"per-{per_batch}", "")
+        ledger = Ledger(spark, str(tmp_path / f"ledger-{per_batch}"))
+        found = ingest_files_in_batches(
+            spark, str(tmp_path / "in"), utf8_pages(), ledger, store, f"c{per_batch}", MODEL, per_batch, glob="*.txt"
+        )
+        assert len(found) == 40 // per_batch and sum(r.new_chunks for r in found) == 40
+        jobs[per_batch] = len(tracker.getJobIdsForGroup(f"per-{per_batch}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] == jobs[40] > 0
+
+
+def test_listings_go_by_tasks(spark, tmp_path):
+    from quireworks.sources.files import list_files
+
+    for folder in ("a", "b/c", "d"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "x.pdf").write_text("x")
+    (tmp_path / "top.pdf").write_text("")
+    (tmp_path / "_hidden.pdf").write_text("no")
+    listed = list_files(spark, str(tmp_path))
+    text = listed._jdf.queryExecution().toString()
+    assert "BatchScan" in text and "LocalRelation" not in text and ".pdf" not in text
+    assert listed.rdd.getNumPartitions() == 4  # the folder itself and three below
+    assert sorted((r.file_name, r.length) for r in listed.collect()) == [("top.pdf", 0), *[("x.pdf", 1)] * 3]

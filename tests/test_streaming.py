@@ -10,6 +10,7 @@ from quireworks.streaming.ingest import (
     file_stream,
     ingest_file_stream,
     ingest_page_stream,
+    ingest_pages_by_state,
     page_stream,
 )
 from tests.test_ingest import strict_pages, write
@@ -89,3 +90,39 @@ def test_two_streams_keep_each_others_rows(spark, store, tmp_path):
         stream = page_stream(spark, str(tmp_path / name))
         ingest_page_stream(stream, store, "c", MODEL, str(tmp_path / f"offsets-{name}")).awaitTermination()
     assert documents(store) == ["text one", "text two"]
+
+
+def test_empty_and_failed_files_are_reported(spark, store, tmp_path):
+    write(tmp_path / "in", a_pdf="one\f \ftwo", empty_pdf="", bad_pdf="broken")
+    report, failed = str(tmp_path / "report"), str(tmp_path / "failed")
+    for _ in range(2):
+        run_files(spark, store, tmp_path, report=report, failures=failed)
+        rows = spark.read.parquet(report).collect()
+        found = {r.source.rsplit("/", 1)[1]: (r.length, r.n_pages, r.n_blank, r.error) for r in rows}
+        assert found == {"a.pdf": (9, 3, 1, None), "empty.pdf": (0, 1, 1, None), "bad.pdf": (6, 0, 0, "ValueError: no page tree")}
+    assert documents(store) == ["one", "two"] and len(rows) == 3
+
+
+def test_file_that_is_gone_is_an_error(spark, store, tmp_path):
+    from quireworks.sources.files import decode_pages, utf8_pages
+    from quireworks.sources.listing import with_contents
+
+    (tmp_path / "a.txt").write_text("one")
+    paths = [(str(tmp_path / name), 7) for name in ("a.txt", "gone.txt")]
+    pages_ = decode_pages(with_contents(spark.createDataFrame(paths, "path string, batch_no long")), utf8_pages())
+    rows = {r.title: r for r in pages_.collect()}
+    assert rows["a.txt"].content == "one" and rows["a.txt"].error is None and rows["a.txt"].batch_no == 7
+    assert rows["gone.txt"].content is None and "FileNotFoundError" in rows["gone.txt"].error
+
+
+def test_state_equals_the_lookup(spark, small, tmp_path):
+    """Two deliveries with a restart between; the second holds texts of the first."""
+    stated, looked = (CollectionStore(spark, str(tmp_path / n)) for n in ("s", "l"))
+    everything = pages(spark, small)
+    for part in (everything.filter("page_no % 2 = 0"), everything):
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+        for store, start, offsets in ((stated, ingest_pages_by_state, "a"), (looked, ingest_page_stream, "b")):
+            stream = page_stream(spark, str(tmp_path / "in"), 2)
+            start(stream, store, "c", MODEL, str(tmp_path / offsets)).awaitTermination()
+    a, b = (s.rows("c").select("uuid", "document") for s in (stated, looked))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.count() > 0
