@@ -59,7 +59,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.pieces = WordCache(self._encode, 300_000)
+        self.pieces = WordCache(self._encode, 100_000)
 
     def _encode(self, pieces: list[bytes]) -> Iterator[bytes]:
         """Ids of each piece. What is a word of letters that nothing would normalise goes to the
