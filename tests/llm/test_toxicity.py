@@ -69,3 +69,53 @@ def test_held_out_accuracy(spark):
     rows = toxicity.op10_toxicity(spark, folder).filter("held_out").join(labels, "doc_id").collect()
     bad, good = [r.predicted for r in rows if r.toxic], [r.predicted for r in rows if not r.toxic]
     assert np.mean(bad) > 0.85 and np.mean(good) < 0.02
+
+
+def test_selection_fit_and_scores_equal_a_plain_version(spark, documents):
+    """Counts, chi-squared, the gradient and the scores by dictionaries and loops."""
+    rng = np.random.default_rng(11)
+    words = [f"Word{i}," for i in range(60)] + ["Women", "gay!", "(idiots)", "scum", "ÜBEL", "“trash”"]
+    rows, marks = [], {}
+    for i in range(400):
+        bad = i % 3 == 0
+        own = list(rng.choice(words[:61], rng.integers(0, 15))) + (list(rng.choice(words[61:], 2)) if bad and i % 4 else [])
+        rows.append((i, " ".join(own) if i % 50 else None))
+        marks[i] = int(bad)
+    labels = spark.createDataFrame(list(marks.items()), "doc_id long, toxic int")
+    docs = documents(rows)
+
+    def features(text):
+        found = set()
+        for word in set((text or "").encode().split()):
+            found |= set(toxicity.features(toxicity.normal(word)))
+        return found
+
+    known = [(features(t), marks[i]) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    n = len(known)
+    t = sum(y for _, y in known)
+    chi = {}
+    for name in set().union(*(f for f, _ in known)):
+        a, b = (sum(name in f for f, y in known if y == label) for label in (1, 0))
+        cross = a * (n - t) - b * t
+        value = cross * cross * n / (t * (n - t) * (a + b) * max(n - a - b, 1))
+        if a + b >= 2 and value > 3.84:
+            chi[name] = value
+    best = sorted(chi, key=lambda x: (-chi[x], x))[:20]
+    sample = toxicity.training_sample(docs, labels).checkpoint()
+    selected = toxicity.select_features(sample, 20)
+    assert sorted(selected) == sorted(best) and np.allclose([chi[x] for x in selected], [chi[x] for x in best])
+
+    model = toxicity.train(docs, labels, most=20)
+    value = dict(zip(model.names, model.weights))
+    x, other, (y, counts) = toxicity.presence(sample, list(model.names))
+    assert counts.sum() == n and y @ counts == t
+    w = np.append(model.weights, model.bias)
+    ones = np.ones((len(x), 1))
+    full, change = np.hstack([x, ones]), np.hstack([x - other, 0 * ones])
+    gradient = toxicity.RIDGE * w
+    for row, moved, label, count in zip(full, change, y, counts):
+        gradient += count * ((1 / (1 + np.exp(-row @ w)) - label) * row + toxicity.SWAP_PENALTY * (moved @ w) * moved)
+    assert np.abs(gradient).max() < 1e-4
+    for r in toxicity.score_texts(docs, model).collect():
+        z = model.bias + sum(value.get(f, 0.0) for f in features(r.text))
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9
