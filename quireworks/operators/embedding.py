@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
@@ -44,13 +45,15 @@ def hashed_words(dimension: int = HASHED_DIMENSION) -> Model:
                     self[word] = number
                 return number
 
-        buckets = Buckets()
+        buckets = Buckets({"": dimension})  # no word: a column that is cut off
 
         def embed(texts: list[str]) -> np.ndarray:
-            counts = np.zeros((len(texts), dimension))
-            for row, text in zip(counts, texts):
-                words = [buckets[word] for word in text.split(" ") if word]
-                row += np.bincount(np.array(words, dtype=np.int64), minlength=dimension)
+            """All words of the batch at once: one look-up each, one count over (text, bucket)."""
+            split = [text.split(" ") for text in texts]
+            row = np.repeat(np.arange(len(texts)), np.fromiter(map(len, split), np.int64, len(texts)))
+            number = np.fromiter(map(buckets.__getitem__, chain.from_iterable(split)), np.int64, len(row))
+            width = dimension + 1
+            counts = np.bincount(row * width + number, minlength=len(texts) * width).reshape(len(texts), width)[:, :dimension]
             norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             return counts / np.where(norms == 0, 1, norms)
 
