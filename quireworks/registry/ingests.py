@@ -267,8 +267,7 @@ def _two_deliveries(spark, folder):
     return documents.join(ids, "doc_id", "left_semi"), documents.join(ids, "doc_id", "left_anti")
 
 
-@query("ingest_batches", _ALL_CHUNKS)
-def ingest_batches(spark, folder):
+def _ingest_by_ledger(spark, folder, files_per_batch):
     """Files in batches against a path ledger; the second run takes the new files only."""
     store = _store(spark)
     ledger = Ledger(spark, scratch_dir(spark, "ledger"))
@@ -276,11 +275,21 @@ def ingest_batches(spark, folder):
     for delivery in _two_deliveries(spark, folder):
         _write_files(delivery, root)
         ingest_files_in_batches(
-            spark, root, utf8_pages(), ledger, store, COLLECTION, MODEL, 400, glob=TXT_GLOB
+            spark, root, utf8_pages(), ledger, store, COLLECTION, MODEL, files_per_batch, glob=TXT_GLOB
         )
     return store.rows(COLLECTION).select("content_hash", "document")
 
 
+@query("ingest_batches", _ALL_CHUNKS)
+def ingest_batches(spark, folder):
+    return _ingest_by_ledger(spark, folder, 400)
+
+
+@query("ingest_files_singly", _ALL_CHUNKS)
+def ingest_files_singly(spark, folder):
+    return _ingest_by_ledger(spark, folder, 1)
+
+
 @query("ingest_stream", _ALL_CHUNKS)
 def ingest_stream(spark, folder):
     """Page files in two deliveries; the second run resumes from the checkpoint."""
