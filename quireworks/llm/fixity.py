@@ -55,13 +55,14 @@ def merkle_levels(manifest: DataFrame, ranges: tuple[int, ...] = RANGES) -> list
 
     ``manifest`` has (archive, offset, length, sha256). A node is the number of its offset
     range; a root is node 0 with the parent null. A node's hash is that of its children's
-    numbers and hashes in order. A group holds the children of one range.
+    numbers and hashes in order. A group holds the children of one range. Each level is
+    checkpointed: the one above and the audit read it, neither makes it again.
     """
     widths = [1, *ranges]
     leaf = F.sha2(F.concat_ws(":", "offset", "length", "sha256").cast("binary"), 256)
     level = manifest.select(
         "archive", F.col("offset").alias("node"), F.floor(F.col("offset") / widths[1]).cast("long").alias("parent"), leaf.alias("hash")
-    )
+    ).checkpoint()
     levels = [level]
     for width, above in zip(widths[1:], [*widths[2:], None]):
         parent = F.lit(0).cast("long") if above is None else F.floor(F.col("parent") * width / above).cast("long")
@@ -70,13 +71,14 @@ def merkle_levels(manifest: DataFrame, ranges: tuple[int, ...] = RANGES) -> list
         level = (
             level.groupBy("archive", "parent").agg(F.sha2(written.cast("binary"), 256).alias("hash"))
             .select("archive", F.col("parent").alias("node"), parent.alias("parent"), "hash")
-        )
+        ).checkpoint()
         levels.append(level)
     children = F.array_sort(F.collect_list(F.struct("node", "hash")))
     written = F.array_join(F.transform(children, lambda c: F.concat_ws(":", c["node"], c["hash"])), ",")
     levels.append(
         level.groupBy("archive").agg(F.sha2(written.cast("binary"), 256).alias("hash"))
         .select("archive", F.lit(0).cast("long").alias("node"), F.lit(None).cast("long").alias("parent"), "hash")
+        .checkpoint()
     )
     return levels
 
@@ -99,7 +101,7 @@ def audit(primary: DataFrame, replica: DataFrame, ranges: tuple[int, ...] = RANG
                 a, b = (x.join(above.select("archive"), "archive", "left_semi") for x in (a, b))
         one = a.select("archive", "node", F.col("hash").alias("mine"))
         other = b.select("archive", "node", F.col("hash").alias("theirs"))
-        differing = one.join(other, ["archive", "node"], "full").filter(~F.col("mine").eqNullSafe(F.col("theirs")))
+        differing = one.join(other, ["archive", "node"], "full").filter(~F.col("mine").eqNullSafe(F.col("theirs"))).checkpoint()
     state = F.when(F.col("theirs").isNull(), "missing").when(F.col("mine").isNull(), "extra").otherwise("damaged")
     return differing.select("archive", F.col("node").alias("offset"), state.alias("state"))
 
