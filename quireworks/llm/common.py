@@ -16,6 +16,7 @@ from quireworks.session import materialize, spread_over_cores
 
 WORD = "[^\\x20\\x09-\\x0D]+"  # fixed by the contracts; bytes.split() cuts at the same six characters
 _SLICE = 4 << 20
+_FILES = 4
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, position below
 
 
@@ -38,14 +39,15 @@ def map_batches(
     work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
     schema: StructType | str,
     text: str | None = None,
+    most: int = _SLICE,
 ) -> DataFrame:
     """Apply a function to every Arrow batch; None gives no rows. With ``text`` a batch is cut
-    into slices of some megabytes of that column first, which bounds a worker's memory."""
+    into slices of about ``most`` bytes of that column first, which bounds a worker's memory."""
     at = None if text is None else df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in [batch] if at is None else cut(batch, at, _SLICE):
+            for part in [batch] if at is None else cut(batch, at, most):
                 if part.num_rows and (out := work(part)) is not None:
                     yield out
 
@@ -63,6 +65,12 @@ def cut(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatc
         start, before = to, int(ends[to - 1])
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Checkpoint rows in a few files for each core at most, however many partitions made them:
+    a step of a loop may be small, and its files are not."""
+    return df.coalesce(_FILES * df.sparkSession.sparkContext.defaultParallelism).checkpoint()
+
+
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished steps: Spark deletes them with the plans' objects,
     which else wait for the driver to collect its garbage."""

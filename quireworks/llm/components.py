@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quireworks.llm.common import settled
+
 _ROUNDS = 60
 
 
@@ -21,11 +23,10 @@ def components(links: DataFrame) -> DataFrame:
     aggregate, so a node with very many links costs a row per task, and each step is
     checkpointed. Nodes without links don't appear; links to null or to itself are ignored.
     """
-    edges = (
+    edges = settled(
         links.filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
-        .checkpoint()
     )
     before = _state(edges)
     for _ in range(_ROUNDS):
@@ -44,7 +45,7 @@ def components(links: DataFrame) -> DataFrame:
             .filter("u <> v")
             .distinct()
         )
-        edges = small.checkpoint()
+        edges = settled(small)
         after = _state(edges)
         if after == before:
             break

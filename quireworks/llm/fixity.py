@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quireworks.llm.common import table, with_position
+from quireworks.llm.common import settled, table, with_position
 
 RECORDS = 1000  # records of an archive
 RANGES = (1 << 16, 1 << 20)  # bytes of an offset range, by level from the records up
@@ -60,26 +60,25 @@ def merkle_levels(manifest: DataFrame, ranges: tuple[int, ...] = RANGES) -> list
     """
     widths = [1, *ranges]
     leaf = F.sha2(F.concat_ws(":", "offset", "length", "sha256").cast("binary"), 256)
-    level = manifest.select(
+    level = settled(manifest.select(
         "archive", F.col("offset").alias("node"), F.floor(F.col("offset") / widths[1]).cast("long").alias("parent"), leaf.alias("hash")
-    ).checkpoint()
+    ))
     levels = [level]
     for width, above in zip(widths[1:], [*widths[2:], None]):
         parent = F.lit(0).cast("long") if above is None else F.floor(F.col("parent") * width / above).cast("long")
         children = F.array_sort(F.collect_list(F.struct("node", "hash")))
         written = F.array_join(F.transform(children, lambda c: F.concat_ws(":", c["node"], c["hash"])), ",")
-        level = (
+        level = settled(
             level.groupBy("archive", "parent").agg(F.sha2(written.cast("binary"), 256).alias("hash"))
             .select("archive", F.col("parent").alias("node"), parent.alias("parent"), "hash")
-        ).checkpoint()
+        )
         levels.append(level)
     children = F.array_sort(F.collect_list(F.struct("node", "hash")))
     written = F.array_join(F.transform(children, lambda c: F.concat_ws(":", c["node"], c["hash"])), ",")
-    levels.append(
+    levels.append(settled(
         level.groupBy("archive").agg(F.sha2(written.cast("binary"), 256).alias("hash"))
         .select("archive", F.lit(0).cast("long").alias("node"), F.lit(None).cast("long").alias("parent"), "hash")
-        .checkpoint()
-    )
+    ))
     return levels
 
 
@@ -101,7 +100,7 @@ def audit(primary: DataFrame, replica: DataFrame, ranges: tuple[int, ...] = RANG
                 a, b = (x.join(above.select("archive"), "archive", "left_semi") for x in (a, b))
         one = a.select("archive", "node", F.col("hash").alias("mine"))
         other = b.select("archive", "node", F.col("hash").alias("theirs"))
-        differing = one.join(other, ["archive", "node"], "full").filter(~F.col("mine").eqNullSafe(F.col("theirs"))).checkpoint()
+        differing = settled(one.join(other, ["archive", "node"], "full").filter(~F.col("mine").eqNullSafe(F.col("theirs"))))
     state = F.when(F.col("theirs").isNull(), "missing").when(F.col("mine").isNull(), "extra").otherwise("damaged")
     return differing.select("archive", F.col("node").alias("offset"), state.alias("state"))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quireworks.llm.common import as_bytes, cut, map_batches, release, spread_table
+from quireworks.llm.common import as_bytes, cut, map_batches, release, settled, spread_table
 from quireworks.llm.components import components
 from quireworks.llm.words import Texts, mix, windows
 from quireworks.session import materialize
@@ -349,7 +349,7 @@ def _link_families(posts: DataFrame, texts: DataFrame, size: int, percent: int)
     qs = [f"q{k}" for k in range(_LONGS)]
     families = components(_candidates(posts, percent))
     families = families.select(F.col("component").alias("family"), F.col("node").alias("component"))
-    members = posts.select("doc", "component", "n", *qs).distinct().join(families, "component").checkpoint()
+    members = settled(posts.select("doc", "component", "n", *qs).distinct().join(families, "component"))
     blocks = _family_blocks(members)
     release(posts.sparkSession)
 
@@ -386,18 +386,17 @@ def _linked_classes(docs: DataFrame, size: int, percent: int, with_null_ids: boo
     rows, _ = materialize(signatures(docs, size), "signatures")
     key = ["n", "h1", "h2"]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "minima")).alias("r")
-    classes = (
+    classes = settled(
         rows.filter("n > 0" if with_null_ids else "n > 0 AND doc_id IS NOT NULL")
         .groupBy(*key)
         .agg(first)
         .select(*key, F.monotonically_increasing_id().alias("doc"), "r.doc_id", "r.digest", "r.minima")
-        .checkpoint()
     )
     posts = _posts(classes, percent)
     lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    posts = posts.join(lists, "key").checkpoint()
+    posts = settled(posts.join(lists, "key"))
     members = posts.select("doc").distinct()
-    posts = posts.join(_packed(classes).join(members, "doc", "left_semi"), "doc").checkpoint()
+    posts = settled(posts.join(_packed(classes).join(members, "doc", "left_semi"), "doc"))
 
     # A text of every class that shares a list, once, for the confirmations.
     wanted = classes.select("doc", "digest").join(members, "doc", "left_semi")
@@ -425,8 +424,8 @@ def _linked_classes(docs: DataFrame, size: int, percent: int, with_null_ids: boo
         .agg(F.max(F.struct(_agreements("a", "b").alias("same"), "b.weight", (-F.col("b.doc")).alias("less"))).alias("r"))
         .select("u", (-F.col("r.less")).alias("v"))
     )
-    links = _confirm(best, texts, size, percent).checkpoint()
-    found = components(links).checkpoint()
+    links = settled(_confirm(best, texts, size, percent))
+    found = settled(components(links))
     release(docs.sparkSession)
 
     # What is left: lists whose members are not all connected, across components.
@@ -434,11 +433,11 @@ def _linked_classes(docs: DataFrame, size: int, percent: int, with_null_ids: boo
         "component", F.coalesce("component", "doc")
     )
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    open_ = placed.join(mixed.select("key"), "key").checkpoint()
+    open_ = settled(placed.join(mixed.select("key"), "key"))
     more = _link_families(open_, texts, size, percent)
     united = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
     placed = classes.drop("minima").join(united.withColumnRenamed("node", "doc"), "doc", "left")
-    return rows, placed.withColumn("component", F.coalesce("component", "doc")).checkpoint()
+    return rows, settled(placed.withColumn("component", F.coalesce("component", "doc")))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -459,10 +458,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     several = known.groupBy("doc_id").agg(*(x.alias(f"x{i}") for i, x in enumerate(differ)))
     several = several.filter("x0 <> x1 OR x2 <> x3 OR x4 <> x5").select("doc_id")
     placed = known.join(several, "doc_id").join(classes.select(*key, "component"), key)
-    placed = placed.select("doc_id", "component").distinct().checkpoint()
+    placed = settled(placed.select("doc_id", "component").distinct())
     least = placed.groupBy("doc_id").agg(F.min("component").alias("v"))
     again = components(placed.join(least, "doc_id").select(F.col("component").alias("u"), "v"))
-    again = again.select(F.col("node").alias("component"), F.col("component").alias("whole")).checkpoint()
+    again = settled(again.select(F.col("node").alias("component"), F.col("component").alias("whole")))
     whole = F.coalesce("whole", "component").alias("component")
     classes = classes.join(again, "component", "left").select(*key, "doc_id", whole)
     names = classes.groupBy("component").agg(F.min("doc_id").alias("found"))

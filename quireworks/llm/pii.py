@@ -24,6 +24,7 @@ from quireworks.llm.common import map_batches, spread_table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{mark}-{kind}" for kind in KINDS for mark in "BI"))
+_SLICE = 1 << 20
 CONTEXT = 3  # words to each side of a digit, at-sign or spelt sign that a window holds
 EPOCHS, RATE, RIDGE = 300, 0.1, 0.01
 
@@ -266,8 +267,9 @@ def train(
     return Crf(index, weights[0], weights[1])
 
 
-def viterbi(model: Crf, rows: list[list[list[str]]], most: int = 1 << 16) -> list[list[int]]:
-    """The best labels of each sentence of features; sentences of like length go together."""
+def viterbi(model: Crf, rows: list[list[list[str]]], most: int = 1 << 13) -> list[list[int]]:
+    """The best labels of each sentence of features; sentences of like length go together,
+    about ``most`` words at a time."""
     empty = len(model.index)
     found: list[list[int]] = [[] for _ in rows]
     order = sorted((i for i in range(len(rows)) if rows[i]), key=lambda i: len(rows[i]))
@@ -280,7 +282,10 @@ def viterbi(model: Crf, rows: list[list[list[str]]], most: int = 1 << 16) -> lis
             [[model.index[f] for f in word if f in model.index] for word in rows[i]] for i in order[at:to]
         ]
         x, there = _pad(batch, empty)
-        scores = model.emit[x].sum(2)
+        scores = np.empty((*there.shape, model.emit.shape[1]))
+        step = max(1, most // len(batch))
+        for t in range(0, scores.shape[1], step):
+            scores[:, t : t + step] = model.emit[x[:, t : t + step]].sum(2)
         best, back = scores[:, 0], np.zeros(scores.shape, np.int8)
         for t in range(1, scores.shape[1]):
             paths = best[:, :, None] + model.step
@@ -418,7 +423,7 @@ def find_personal_data(docs: DataFrame, model: Crf | None = None) -> DataFrame:
             names=["doc_id", *rows],
         )
 
-    return map_batches(docs.select("doc_id", "text"), work, SPANS, "text")
+    return map_batches(docs.select("doc_id", "text"), work, SPANS, "text", _SLICE)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -460,7 +465,7 @@ def mask_personal_data(docs: DataFrame, model: Crf | None = None) -> DataFrame:
             columns[count] = pa.array(sizes, pa.int64())
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    return map_batches(docs, work, StructType(fields), "text")
+    return map_batches(docs, work, StructType(fields), "text", _SLICE)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

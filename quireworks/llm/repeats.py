@@ -39,6 +39,7 @@ _MANY = 16  # phrases of one trigger string in a batch from which all are put in
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _NULL = -(1 << 63)  # stands for a null doc_id
 _CHECK = (1 << 18) - 1
+_HALF = np.uint64((1 << 32) - 1)
 _BLOCK = 8  # neighbouring windows whose common middle is looked up first
 _MOST = 127  # windows in one row
 _powers: list[tuple[np.ndarray, np.ndarray]] = []
@@ -149,6 +150,7 @@ def phrases(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
 def _rows(asked: tuple[np.ndarray, ...], local: tuple[np.ndarray, np.ndarray, int] | None = None) -> pa.RecordBatch:
     """Rows of (a, b, doc, at, kind), and a row for each text of the (doc, at) of one kind that need no others."""
     a, b, doc, at, kind = asked
+    b = b & _HALF  # 96 bits tell keys apart
     offsets, values = np.zeros(len(a) + 1, np.int64), np.zeros(0, np.int64)
     if local is not None and len(local[0]):
         docs, places, which = local
@@ -347,7 +349,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     windows = map_batches(_with_places(texts, shared), _window_rows(length), ROWS, "text").withColumn("local", _local())
     same = Window.partitionBy("local", "a", "b").orderBy("doc", F.shiftright("at", 32))
     again = windows.withColumn("rank", F.rank().over(same)).filter((F.col("kind") == KNOWN) | (F.col("rank") > 1))
-    found = marks.filter(F.col("kind") == KNOWN).select("doc", "at").unionByName(again.select("doc", _places()))
+    again = _written(again.select("doc", _places()), "windows")
+    release(spark)
+    found = marks.filter(F.col("kind") == KNOWN).select("doc", "at").unionByName(again)
     return texts.join(_lists(found), ["doc", "text_check"], "left")
 
 
