@@ -210,11 +210,12 @@ def _phrase_rows(length: int, gram: int) -> Callable[[pa.RecordBatch], pa.Record
         many = counts[same] > _MANY
         kind[heads[many]] = SEVERAL
         marks = keys[counts > _MANY]
-        zero, asks = np.zeros(len(marks), np.int64), kind == ASK
+        zero, asks = np.zeros(len(marks), np.int64), np.flatnonzero(kind == ASK)
+        asks = asks[np.lexsort((start[asks], text[asks]))]  # neighbours' places compress well in the shuffle
         asked = (
             np.concatenate([a[asks], marks]), np.concatenate([b[asks], zero.view(np.uint64)]),
             np.concatenate([doc[asks], zero]), np.concatenate([at[asks], zero]),
-            np.repeat(np.array([ASK, MARK], np.int32), [asks.sum(), len(marks)]),
+            np.repeat(np.array([ASK, MARK], np.int32), [len(asks), len(marks)]),
         )
         known, several = kind == KNOWN, kind == SEVERAL
         return pa.concat_batches(
@@ -308,7 +309,7 @@ def _window_rows(length: int) -> Callable[[pa.RecordBatch], pa.RecordBatch | Non
             return None
         text, start, a, b = map(np.concatenate, zip(*out))
         order, first = _first_of(a, b, docs[text], start)
-        asks = order[first]
+        asks = np.sort(order[first])  # by text and start, which compresses well in the shuffle
         known = np.sort(order[~first])  # by text and start again: neighbours become one row
         t, s = text[known], start[known]
         new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (s[1:] != s[:-1] + 1)])[: len(t)])

@@ -110,3 +110,16 @@ def test_places_grow_with_the_texts_and_not_their_square(documents):
 
     for doc_id in (None, 7):
         assert places(80, doc_id) < 6 * places(20, doc_id)
+
+
+def test_rows_that_ask_leave_a_batch_in_the_order_of_places():
+    """Neighbouring rows then share most bytes of their places, which the shuffle's codec uses."""
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    texts = [bytes(rng.randrange(97, 123) for _ in range(4000)) for _ in range(3)]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 1, 9]), pa.array(texts)], names=["doc", "text"])
+    rows = repeats._phrase_rows(100, 32)(batch).to_pylist()
+    asks = [(r["doc"], r["at"] >> 32) for r in rows if r["kind"] == repeats.ASK]
+    by_text = [sorted(a for a in asks if a[0] == doc) for doc in (5, 1, 9)]
+    assert asks == sum(by_text, []) and len(asks) > 50
