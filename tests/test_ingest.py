@@ -448,3 +448,19 @@ def test_hashes_are_found_with_and_without_their_buckets(spark, store, tmp_path)
     assert known(store) == 6 and known(store, "2") == 5 and known(store, "1") == 1
     assert known(CollectionStore(spark, store.root, hash_buckets=3)) == 6  # no such buckets: from the rows
     assert not any(t.name.startswith("quireworks_") for t in spark.catalog.listTables())
+
+
+def test_compacted_files_are_bounded_by_bytes(spark, store):
+    """One task sorts and writes a file: a large collection gets more than are asked for."""
+    from quireworks.session import folder_bytes
+
+    rows = [("A", i, " ".join(f"w{i * 997 * j % 10_007}" for j in range(120))) for i in range(400)]
+    insert_publications(pubs(spark, rows).repartition(4), store, "c", MODEL, "1")
+    before = sorted(map(str, store.rows("c").drop("batch_id").collect()))
+    size = folder_bytes(spark, f"{store.root}/embeddings")
+    store.compact("c", 2, file_bytes=size // 5)
+    files = spark.read.parquet(*store.rows("c").inputFiles())
+    assert len(store.rows("c").inputFiles()) >= 5
+    shares = files.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in shares) < 200
+    assert sorted(map(str, store.rows("c").drop("batch_id").collect())) == before
