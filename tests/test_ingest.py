@@ -464,3 +464,12 @@ def test_compacted_files_are_bounded_by_bytes(spark, store):
     shares = files.groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in shares) < 200
     assert sorted(map(str, store.rows("c").drop("batch_id").collect())) == before
+
+
+def test_repeated_documents_are_counted_by_digest(spark, small):
+    """Texts are shuffled once, and no exchange goes by them."""
+    from quireworks.registry.ingests import ingest_append_repeats
+
+    rows = ingest_append_repeats(spark, small)
+    assert "hashpartitioning(document" not in rows._jdf.queryExecution().toString()
+    assert rows.columns == ["document", "n_rows", "n_keys"]
