@@ -146,3 +146,17 @@ def test_result_does_not_depend_on_partitions(spark, small):
     one = hashed_chunks(pages(spark, small).coalesce(1))
     many = hashed_chunks(pages(spark, small).repartition(13))
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+
+
+def test_a_batch_is_cut_in_slices_bounded_by_bytes():
+    import pyarrow as pa
+
+    from quireworks.operators.chunking import text_slices
+
+    texts = pa.array(["a" * 40, None, "", "b" * 300, "ü" * 60, "c" * 30, "d", None])
+    for most in (1, 100, 10_000):
+        parts = list(text_slices(texts, most))
+        assert pa.concat_arrays(parts).equals(texts)
+        for part in parts:  # without its last row a slice is below the bound
+            assert sum(len((t or "").encode()) for t in part.to_pylist()[:-1]) <= most
+    assert len(list(text_slices(texts, 100))) == 3 and list(text_slices(texts.slice(0, 0), 1)) == []
