@@ -466,6 +466,66 @@ def test_compacted_files_are_bounded_by_bytes(spark, store):
     assert sorted(map(str, store.rows("c").drop("batch_id").collect())) == before
 
 
+def test_hashes_of_many_small_batches_are_in_one_file_each(spark, tmp_path):
+    from quireworks.session import list_names
+    from quireworks.sources.store import CollectionStore
+
+    store = CollectionStore(spark, str(tmp_path / "store"), hash_buckets=2)
+    for i in range(4):
+        texts = [(f"t{i}", j, f"text {i} {j}") for j in range(10)] + [("same", 0, "same")]
+        result = insert_publications(pubs(spark, texts), store, "c", MODEL, f"b{i}")
+        assert result.new_chunks == (10 if i else 11)
+    key = store.collection_id("c")
+    assert [list_names(spark, store._hash_folder(key, 0, n)) for n in (2, 1)] == [
+        ["batch_id=b0", "batch_id=b1"], ["batch_id=b2", "batch_id=b3"]
+    ]
+    again = [("x", 0, "text 3 1"), ("x", 1, "text 2 1"), ("x", 2, "text 0 1"), ("x", 3, "new")]
+    assert insert_publications(pubs(spark, again), store, "c", MODEL, "b3").new_chunks == 2
+    assert insert_publications(pubs(spark, again), store, "c", MODEL, "b4").new_chunks == 0
+    asked = spark.createDataFrame([("text 0 1",), ("text 2 1",), ("text 3 2",)], "content string")
+    asked = asked.select(F.sha2("content", 256).alias("content_hash"))
+    for n in (None, 3):
+        with store.known_hashes(asked, "c", n_chunks=n) as found:
+            assert found.count() == 2
+        with store.known_hashes(asked, "c", "b2", n_chunks=n) as found:
+            assert found.count() == 1
+
+
+def test_ledger_is_settled_once_for_all_waves(spark, store, tmp_path, monkeypatch):
+    """Each settling reads all published keys, so one for each wave grows with their square."""
+    write(tmp_path / "in", a_pdf="one", b_pdf="two", c_pdf="three")
+    real, calls = Ledger.settle, []
+    monkeypatch.setattr(Ledger, "settle", lambda self, *args: (calls.append(1), real(self, *args)))
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    for _ in range(2):
+        ingest_files_in_batches(
+            spark, str(tmp_path / "in"), strict_pages(), ledger, store, "c", MODEL, 1, wave_files=1
+        )
+    assert len(calls) == 2 and ledger.read().count() == 3 and documents(store) == ["one", "three", "two"]
+
+
+def test_small_sets_of_files_go_to_few_tasks(spark, tmp_path):
+    from quireworks.sources.listing import with_contents
+
+    paths = spark.createDataFrame([(str(tmp_path / f"{i}.txt"),) for i in range(10)], "path string")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        tasks = [with_contents(paths, n).rdd.getNumPartitions() for n in (None, 10, 4000, 1_000_000)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert tasks == [64, spark.sparkContext.defaultParallelism, 16, 64]
+
+
+def test_pages_of_large_and_small_files_keep_their_columns(spark, store, tmp_path):
+    from quireworks.sources.files import decode_pages
+
+    texts = {f"{i}": "\f".join(f"{i} {j} " + "x" * (700_000 if i % 3 else 1) for j in range(i)) for i in range(9)}
+    files = spark.createDataFrame([(n, t.encode(), int(n)) for n, t in texts.items()], "path string, content binary, batch_no long")
+    got = decode_pages(files.coalesce(1), utf8_pages()).collect()
+    found = sorted((r.batch_no, r.source, r.page_no, r.content) for r in got)
+    assert found == sorted((int(n), n, k, p) for n, t in texts.items() for k, p in enumerate(t.split("\f")))
+
+
 def test_repeated_documents_are_counted_by_digest(spark, small):
     """Texts are shuffled once, and no exchange goes by them."""
     from quireworks.registry.ingests import ingest_append_repeats

@@ -126,3 +126,39 @@ def test_state_equals_the_lookup(spark, small, tmp_path):
             start(stream, store, "c", MODEL, str(tmp_path / offsets)).awaitTermination()
     a, b = (s.rows("c").select("uuid", "document") for s in (stated, looked))
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.count() > 0
+
+
+def test_listing_serves_micro_batches_until_it_is_used_up(tmp_path):
+    import os
+    import time
+
+    from quireworks.sources.listing import ListingStreamReader
+
+    def add(name, at):
+        (tmp_path / name).write_text(name)
+        os.utime(tmp_path / name, (at, at))
+
+    for i in range(6):
+        add(f"{i}.txt", 1000 + i // 2)
+    reader, listings = ListingStreamReader({"path": str(tmp_path), "files": "2"}), []
+    real = reader._after
+    reader._after = lambda start: (listings.append(start), real(start))[1]
+    offset, taken = reader.initialOffset(), []
+    for _ in range(3):
+        rows, offset = reader.read(offset)
+        taken += [r[0].rsplit("/", 1)[1] for r in rows]
+    assert taken == [f"{i}.txt" for i in range(6)] and len(listings) == 1
+    add("b.txt", time.time())  # as young as its listing: not kept beyond one micro-batch
+    add("c.txt", time.time() + 60)
+    add("a.txt", 2000)
+    add("d.txt", time.time() + 60)
+    rows, offset = reader.read(offset)
+    assert [r[0].rsplit("/", 1)[1] for r in rows] == ["a.txt", "b.txt"] and len(listings) == 2
+    add("b2.txt", time.time() + 30)
+    rows, offset = reader.read(offset)
+    assert [r[0].rsplit("/", 1)[1] for r in rows] == ["b2.txt", "c.txt"] and len(listings) == 3
+    rows, offset = reader.read(offset)
+    assert [r[0].rsplit("/", 1)[1] for r in rows] == ["d.txt"]
+    # Another offset than the last one given is listed anew.
+    rows, _ = reader.read(reader.initialOffset())
+    assert [r[0].rsplit("/", 1)[1] for r in rows] == ["0.txt", "1.txt"]
