@@ -162,3 +162,27 @@ def test_listing_serves_micro_batches_until_it_is_used_up(tmp_path):
     # Another offset than the last one given is listed anew.
     rows, _ = reader.read(reader.initialOffset())
     assert [r[0].rsplit("/", 1)[1] for r in rows] == ["0.txt", "1.txt"]
+
+
+def test_stream_listing_is_in_order_and_kept_as_columns(tmp_path):
+    import os
+
+    from quireworks.sources.listing import ListingStreamReader
+
+    for i in range(40):
+        (tmp_path / f"d{i % 4}").mkdir(exist_ok=True)
+        name = tmp_path / f"d{i % 4}" / f"\u00e4{i}.txt"
+        name.write_text("x" * i)
+        os.utime(name, (1000 + i % 3, 1000 + i % 3))
+    reader = ListingStreamReader({"path": str(tmp_path), "files": "7", "glob": "*.txt"})
+    offset, taken = reader.initialOffset(), []
+    for _ in range(6):
+        start = offset
+        rows, offset = reader.read(start)
+        rows = list(rows)
+        assert rows == list(reader.readBetweenOffsets(start, offset))
+        taken += rows
+    assert reader.kept.num_rows == 0 and reader.kept.column_names == ["modified", "path", "length"]
+    assert [(r[2].timestamp(), r[0]) for r in taken] == sorted((r[2].timestamp(), r[0]) for r in taken)
+    assert len({r[0] for r in taken}) == 40 and sum(r[1] for r in taken) == sum(range(40))
+    assert reader.read(offset)[1] == offset
