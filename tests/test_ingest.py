@@ -533,3 +533,51 @@ def test_repeated_documents_are_counted_by_digest(spark, small):
     rows = ingest_append_repeats(spark, small)
     assert "hashpartitioning(document" not in rows._jdf.queryExecution().toString()
     assert rows.columns == ["document", "n_rows", "n_keys"]
+
+
+def test_pages_without_chunks_are_kept_once(spark):
+    from quireworks.plans.ingest import chunked_pages, chunks_of_pages, page_chunks
+
+    rows = [
+        ("a", "A ", 0, " one. " + "two " * 400, None), ("a", "A ", 1, " \u200b ", None), ("b", "B", None, None, None),
+        ("c", None, 0, None, "broken"), ("d", "D", 0, "\u00a0\n", None), ("e", "E", 2, "\u00a0three\n", None),
+    ]
+    pages_ = spark.createDataFrame(rows, "source string, title string, page_no long, content string, error string")
+    staged = page_chunks(pages_).cache()
+    found = chunked_pages(staged)
+    assert sorted((r.source, r.page_no, r.blank) for r in found.filter("page_no IS NOT NULL").collect()) == [
+        ("a", 0, False), ("a", 1, False), ("c", 0, True), ("d", 0, True), ("e", 2, False)
+    ]
+    assert found.count() == 6
+    want = hashed_chunks(page_rows(pages_.filter("error IS NULL")))
+    got = chunks_of_pages(staged)
+    assert got.columns == want.columns and want.count() > 2
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    staged.unpersist()
+
+
+def test_workers_load_a_model_once_and_without_pyspark_ml(spark, tmp_path):
+    import subprocess
+    import sys
+
+    import numpy as np
+
+    from quireworks.operators.embedding import embed_documents
+
+    loads = str(tmp_path / "loads")
+
+    def model():
+        import os
+
+        with open(loads, "a") as file:
+            file.write(f"{os.getpid()}\n")
+        return lambda texts: np.array([[len(t), 1] for t in texts]).reshape(-1, 2)
+
+    rows = spark.createDataFrame([("abc",), (None,), ("",)], "document string").coalesce(1)
+    for _ in range(4):
+        got = embed_documents(rows, model, batch_size=2).collect()
+        assert [(r.document, r.embedding) for r in got] == [("abc", [3, 1]), (None, [0, 1]), ("", [0, 1])]
+    pids = open(loads).read().split()
+    assert len(pids) == len(set(pids))
+    imported = "import sys, quireworks.operators.embedding; sys.exit('pyspark.ml' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", imported]).returncode == 0

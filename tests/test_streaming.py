@@ -164,6 +164,24 @@ def test_listing_serves_micro_batches_until_it_is_used_up(tmp_path):
     assert [r[0].rsplit("/", 1)[1] for r in rows] == ["0.txt", "1.txt"]
 
 
+def test_micro_batch_takes_few_jobs(spark, store, tmp_path):
+    """What a micro-batch costs besides its files is paid for each of hundreds of them."""
+    write(tmp_path / "in", **{f"f{i}_pdf": f"text {i}" for i in range(5)})
+    query = run_files(spark, store, tmp_path, report=str(tmp_path / "report"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))
+    assert documents(store) == [f"text {i}" for i in range(5)]
+    assert 5 <= len(jobs) <= 5 * 12
+
+
+def test_failing_report_stops_the_stream(spark, store, tmp_path):
+    write(tmp_path / "in", a_pdf="one")
+    (tmp_path / "taken").write_text("no folder")
+    with pytest.raises(StreamingQueryException):
+        run_files(spark, store, tmp_path, report=str(tmp_path / "taken"))
+    run_files(spark, store, tmp_path, report=str(tmp_path / "report"))
+    assert documents(store) == ["one"] and spark.read.parquet(str(tmp_path / "report")).count() == 1
+
+
 def test_stream_listing_is_in_order_and_kept_as_columns(tmp_path):
     import os
 
