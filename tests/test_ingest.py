@@ -535,6 +535,22 @@ def test_repeated_documents_are_counted_by_digest(spark, small):
     assert rows.columns == ["document", "n_rows", "n_keys"]
 
 
+def test_waves_grow_so_that_their_number_does_not_follow_the_files(spark, store, tmp_path):
+    from itertools import groupby
+
+    write(tmp_path / "in", bad_pdf="broken", **{f"f{i:02d}_pdf": f"text {i // 2}" for i in range(59)})
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    found = ingest_files_in_batches(
+        spark, str(tmp_path / "in"), strict_pages(), ledger, store, "c", MODEL, 1, wave_files=40
+    )
+    waves = [[*group] for _, group in groupby(found, lambda r: r.batch_id.rpartition(".")[0])]
+    assert [len(w) for w in waves] == [4, 8, 16, 32]
+    assert [int(r.batch_id.rpartition(".")[2]) for r in found] == [*range(1, 61)] == [*range(1, len(found) + 1)]
+    assert found[-1] == found[59] == found[58:][1] and found[0].failed_files == 1
+    assert sum(r.new_chunks for r in found) == 30 and sum(r.skipped_chunks for r in found) == 29
+    assert documents(store) == sorted(f"text {i}" for i in range(30)) and ledger.read().count() == 59
+
+
 def test_pages_without_chunks_are_kept_once(spark):
     from quireworks.plans.ingest import chunked_pages, chunks_of_pages, page_chunks
 
